@@ -37,7 +37,7 @@ def _when(cond: str, value: str, other: str | None = None) -> str:
     return f"CASE WHEN {cond} THEN {value}" + (f" ELSE {other}" if other else "") + " END"
 
 
-LINE_ID = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+LINE_ID = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_quantity AS INT)"
 LINE_SEEN = (
     f"({_day('DATE' + chr(39) + '2015-01-01' + chr(39), 'l_orderkey % 3000')} || 'T0' || CAST(l_linenumber AS STRING) || ':'"
     " || lpad(CAST(l_suppkey % 60 AS STRING), 2, '0') || ':00.' || lpad(CAST(l_partkey % 1000000 AS STRING), 6, '0'))"
@@ -410,7 +410,6 @@ DOCUMENTS: dict[str, tuple[str, str, str, str, dict[str, str]]] = {
 }
 
 # Identifier lists per type, in document order: (condition, system, value, type code).
-PERSON = "NOT (c_custkey % 7 = 0)"
 IDENTIFIERS: dict[str, list[tuple[str, str, str, str | None]]] = {
     "Patient": [
         ("c_custkey % 7 <> 0 AND c_custkey % 13 = 0", "urn:other", "'X' || c_custkey", None),
@@ -439,6 +438,9 @@ def document_sql(paths: dict[str, str]) -> str:
             node = node.setdefault(step, {})
         node[steps[-1]] = expr
 
+    def leaves(node) -> list[str]:
+        return [node] if isinstance(node, str) else [leaf for child in node.values() for leaf in leaves(child)]
+
     def render(node) -> str:
         if isinstance(node, str):
             return node
@@ -446,7 +448,12 @@ def document_sql(paths: dict[str, str]) -> str:
         for step, child in node.items():
             name = re.sub(r"\[0\]$", "", step)
             body = render(child)
-            items.append(f"'{name}', " + (f"array({body})" if step.endswith("[0]") else body))
+            body = f"array({body})" if step.endswith("[0]") else body
+            # An object whose values may all be absent is left out altogether.
+            if isinstance(child, dict) and all(leaf.startswith("CASE") for leaf in leaves(child)):
+                some = " OR ".join(f"({leaf}) IS NOT NULL" for leaf in leaves(child))
+                body = f"CASE WHEN {some} THEN {body} END"
+            items.append(f"'{name}', {body}")
         return f"named_struct({', '.join(items)})"
 
     return render(tree)
