@@ -63,33 +63,45 @@ class RefPlan:
     array_nested: tuple[tuple[str, tuple[str, ...]], ...] = field(default=())
 
 
-def _elements(doc: Column, json_path: str) -> Column:
-    return F.coalesce(try_path(doc, json_path, "array<variant>"), F.array().cast("array<variant>"))
+REF_STRUCT = "struct<reference:string,type:string,display:string>"
 
 
-def _reference(name: str, owner: Column, prefix: str) -> Column:
+def _elements(doc: Column, json_path: str, element: str) -> Column:
+    """Array at a path read straight into typed elements; absent or no array: empty.
+
+    Reading typed elements avoids building one small document per element. An
+    element of another shape becomes NULL, like a failed path read.
+    """
+    kind = f"array<{element}>"
+    return F.coalesce(try_path(doc, json_path, kind), F.array().cast(kind))
+
+
+def _reference(label: str, ref: Column) -> Column:
     return F.struct(
-        F.lit(name).alias("field"),
-        try_path(owner, f"$.{prefix}reference").alias("url"),
-        try_path(owner, f"$.{prefix}type").alias("type"),
-        try_path(owner, f"$.{prefix}display").alias("display"),
+        F.lit(label).alias("field"),
+        ref["reference"].alias("url"),
+        ref["type"].alias("type"),
+        ref["display"].alias("display"),
     )
 
 
-def _references_of(doc: Column, array_field: str, label: str, prefix: str) -> Column:
-    return F.transform(_elements(doc, f"$.{array_field}"), lambda e: _reference(label, e, prefix))
+def _references_of(doc: Column, array_field: str, sub_field: str | None = None) -> Column:
+    if sub_field is None:
+        return F.transform(_elements(doc, f"$.{array_field}", REF_STRUCT), lambda e: _reference(array_field, e))
+    rows = _elements(doc, f"$.{array_field}", f"struct<`{sub_field}`:{REF_STRUCT}>")
+    return F.transform(rows, lambda e: _reference(f"{array_field}.{sub_field}", e[sub_field]))
 
 
 def extract_references(doc: Column, plan: RefPlan) -> Column:
     """One flat array of all references, entries without a url removed."""
     parts: list[Column] = []
     if plan.direct:
-        parts.append(F.array(*[_reference(f, doc, f"{f}.") for f in sorted(plan.direct)]))
+        direct = [_reference(f, try_path(doc, f"$.{f}", REF_STRUCT)) for f in sorted(plan.direct)]
+        parts.append(F.array(*direct))
     for name in sorted(plan.array_direct):
-        parts.append(_references_of(doc, name, name, ""))
+        parts.append(_references_of(doc, name))
     for name, subs in sorted(plan.array_nested):
-        for sub in sorted(subs):
-            parts.append(_references_of(doc, name, f"{name}.{sub}", f"{sub}."))
+        parts += [_references_of(doc, name, sub) for sub in sorted(subs)]
     if not parts:
         return F.lit(None).cast(REFERENCE_TYPE)
     return F.filter(F.flatten(F.array(*parts)), lambda r: r["url"].isNotNull())
@@ -99,12 +111,13 @@ def extract_identifiers(doc: Column, present: bool = True) -> Column:
     """Business identifiers; NULL for types never seen with ``identifier``."""
     if not present:
         return F.lit(None).cast(IDENTIFIER_TYPE)
+    element = "struct<system:string,value:string,type:struct<coding:array<struct<code:string>>>>"
     rows = F.transform(
-        _elements(doc, "$.identifier"),
+        _elements(doc, "$.identifier", element),
         lambda e: F.struct(
-            try_path(e, "$.system").alias("system"),
-            try_path(e, "$.value").alias("value"),
-            try_path(e, "$.type.coding[0].code").alias("type_code"),
+            e["system"].alias("system"),
+            e["value"].alias("value"),
+            F.get(e["type"]["coding"], F.lit(0))["code"].alias("type_code"),
         ),
     )
     return F.filter(rows, lambda r: r["value"].isNotNull())
@@ -115,14 +128,7 @@ def extract_codes(doc: Column, resource_type: str) -> Column:
     code_field = CODE_FIELDS.get(resource_type)
     if code_field is None:
         return F.lit(None).cast(CODE_TYPE)
-    rows = F.transform(
-        _elements(doc, f"$.{code_field}.coding"),
-        lambda e: F.struct(
-            try_path(e, "$.system").alias("system"),
-            try_path(e, "$.code").alias("code"),
-            try_path(e, "$.display").alias("display"),
-        ),
-    )
+    rows = _elements(doc, f"$.{code_field}.coding", "struct<system:string,code:string,display:string>")
     return F.filter(rows, lambda r: r["code"].isNotNull())
 
 

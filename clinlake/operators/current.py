@@ -68,11 +68,12 @@ def with_previous(
 ) -> DataFrame:
     """``lag`` (or ``lead``) of ``cols`` by ``order`` within ``keys``, safe for hot keys.
 
-    Rows are cut into ``slices`` time slices at quantiles of ``order``. Inside a
-    (key, slice) pair an ordinary window finds the neighbour; a first (last) row
-    takes it from the nearest earlier (later) non-empty slice. Slice boundaries
-    are one pre-aggregated row per (key, slice), so a key contributes at most
-    ``slices`` of them and its rows spread over as many tasks.
+    Rows are cut into ``slices`` time slices at quantiles of ``order`` and the window
+    runs per (key, slice). The last (first) row of each slice is copied as a border
+    row into the key's next (previous) non-empty slice, where the window picks it up.
+    Border rows are one pre-aggregated row per (key, slice), so a key has at most
+    ``slices`` of them, its rows spread over as many tasks, and the input is
+    shuffled once.
     ``order`` must be unique within a key. Adds ``{prefix}exists`` and the columns.
     """
     share = [i / slices for i in range(1, slices)]
@@ -88,25 +89,26 @@ def with_previous(
         .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c < F.col("_p"))))
         .drop("_cuts", "_p")
     )
-    carried = F.struct(*cols)
+    pick, step = (F.min_by, F.lag) if following else (F.max_by, F.lead)
+    carried = list(dict.fromkeys([order, *cols]))
+    edges = sliced.groupBy(*keys, "_slice").agg(pick(F.struct(*carried), F.col(order)).alias("_edge"))
+    neighbours = Window.partitionBy(*keys).orderBy("_slice")
+    borders = (
+        edges.withColumn("_slice", step("_slice").over(neighbours))
+        .where("_slice IS NOT NULL")
+        .select(*keys, "_slice", *[F.col(f"_edge.{c}").alias(c) for c in carried if c not in keys])
+    )
+    rows = sliced.withColumn("_own", F.lit(True)).unionByName(
+        borders.withColumn("_own", F.lit(False)), allowMissingColumns=True
+    )
     direction = F.col(order).desc() if following else F.col(order).asc()
     inside = Window.partitionBy(*keys, "_slice").orderBy(direction)
-    pick = F.min_by if following else F.max_by
-    edges = sliced.groupBy(*keys, "_slice").agg(pick(carried, F.col(order)).alias("_edge"))
-    across = Window.partitionBy(*keys).orderBy(F.col("_slice").desc() if following else F.col("_slice").asc())
-    edges = edges.select(*keys, "_slice", F.lag("_edge").over(across).alias("_from_edge"))
-
-    rows = sliced.withColumn("_inside", F.lag(carried).over(inside))
-    joined = rows.alias("r").join(
-        edges.alias("e"),
-        [F.col(f"r.{k}").eqNullSafe(F.col(f"e.{k}")) for k in [*keys, "_slice"]],
-        "left",
-    )
-    neighbour = F.coalesce(F.col("r._inside"), F.col("e._from_edge"))
-    return joined.select(
-        *[F.col(f"r.{c}") for c in df.columns],
-        neighbour.isNotNull().alias(f"{prefix}exists"),
-        *[neighbour[c].alias(f"{prefix}{c}") for c in cols],
+    neighbour = F.lag(F.struct(*cols)).over(inside)
+    found = rows.withColumn("_neighbour", neighbour).where("_own")
+    return found.select(
+        *df.columns,
+        F.col("_neighbour").isNotNull().alias(f"{prefix}exists"),
+        *[F.col(f"_neighbour.{c}").alias(f"{prefix}{c}") for c in cols],
     )
 
 

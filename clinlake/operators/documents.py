@@ -28,28 +28,29 @@ def bundle_meta(bundles: DataFrame) -> DataFrame:
     )
 
 
-def _exploded(bundles: DataFrame) -> DataFrame:
-    # The array is cut into VARIANT elements in place: a narrow generator, so one
-    # large bundle costs its own task only and nothing is shuffled.
-    entries = try_path("fhir", "$.entry", "array<variant>")
-    return bundles.select("bundle_uuid", "ingest_time", F.posexplode(entries).alias("entry_pos", "entry"))
+ENTRY = "array<struct<fullUrl:string,resource:variant>>"
 
 
 def explode_entries(bundles: DataFrame) -> DataFrame:
     """One row per bundle entry; bundles without entries produce no row.
 
-    ``entry_pos`` is the place inside the bundle: if one bundle lists a resource
-    twice, the later entry wins.
+    Entries are cut out of the array in place: a narrow generator without a
+    shuffle, and each resource carries only its own field names. ``entry_pos`` is
+    the place inside the bundle: if one bundle lists a resource twice, the later
+    entry wins.
     """
-    rows = _exploded(bundles).select(
+    exploded = bundles.select(
+        "bundle_uuid", "ingest_time", F.posexplode(try_path("fhir", "$.entry", ENTRY)).alias("entry_pos", "entry")
+    )
+    return exploded.select(
+        F.sha2(F.concat("bundle_uuid", "entry.fullUrl"), 256).alias("resource_uuid"),
         "bundle_uuid",
-        try_path("entry", "$.fullUrl").alias("fullUrl"),
-        try_path("entry", "$.resource.resourceType").alias("resourceType"),
+        F.col("entry.fullUrl").alias("fullUrl"),
+        try_path("entry.resource", "$.resourceType").alias("resourceType"),
         "ingest_time",
         "entry_pos",
-        try_path("entry", "$.resource", "variant").alias("resource"),
+        F.col("entry.resource").alias("resource"),
     )
-    return rows.select(F.sha2(F.concat("bundle_uuid", "fullUrl"), 256).alias("resource_uuid"), *rows.columns)
 
 
 def explode_fields(resources: DataFrame) -> DataFrame:

@@ -17,7 +17,9 @@ from clinlake.functions.keys import organization_key, patient_key
 from clinlake.functions.paths import first_where, try_path
 from clinlake.operators.current import latest_per_key
 
-NULL_SALTS = 256
+# Start of a stand-in for a missing text key; no url or key begins with NUL.
+MISSING = "\0missing-"
+NULL_SPREAD = 1024
 
 
 def reference_url(references: Column, *fields: str) -> Column:
@@ -38,43 +40,55 @@ def left_lookup(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]])
     """LEFT equi-join that keeps every row of ``df`` and spreads NULL keys.
 
     ``on`` pairs a column of ``df`` with a column of ``lookup``; the key columns
-    of ``lookup`` are dropped from the result.
+    of ``lookup`` are dropped from the result. A missing text key takes one of
+    many stand-in values that match nothing: hashed as NULL, all rows without a
+    reference would land in one task.
     """
-    missing = F.lit(False)
-    for mine, _ in on:
-        missing = missing | F.col(mine).isNull()
-    salted = df.withColumn("_salt", F.when(missing, F.pmod(F.xxhash64(*df_keys(df)), F.lit(NULL_SALTS))).otherwise(-1))
-    side = lookup.select(*[F.col(c).alias(f"_l_{c}") for c in lookup.columns], F.lit(-1).cast("long").alias("_lsalt"))
-    cond = F.col("_salt") == F.col("_lsalt")
-    for mine, theirs in on:
-        cond = cond & (F.col(mine) == F.col(f"_l_{theirs}"))
-    joined = salted.join(side, cond, "left")
+    kinds = dict(df.dtypes)
+    row = F.pmod(F.xxhash64(*spreading_columns(df)), F.lit(NULL_SPREAD)).cast("string")
+    joinable = df.withColumns(
+        {
+            f"_j_{mine}": F.coalesce(F.col(mine), F.concat(F.lit(MISSING), row)) if kinds[mine] == "string" else F.col(mine)
+            for mine, _ in on
+        }
+    )
+    side = lookup.select(*[F.col(c).alias(f"_l_{c}") for c in lookup.columns])
+    cond = [F.col(f"_j_{mine}") == F.col(f"_l_{theirs}") for mine, theirs in on]
+    joined = joinable.join(side, cond, "left")
     taken = {theirs for _, theirs in on}
     return joined.select(*df.columns, *[F.col(f"_l_{c}").alias(c) for c in lookup.columns if c not in taken])
 
 
-def df_keys(df: DataFrame) -> list[Column]:
-    """Plain string and number columns used to spread rows."""
+def spreading_columns(df: DataFrame) -> list[Column]:
+    """A few plain columns that tell rows apart; ids come first in our tables."""
     simple = {"string", "bigint", "int", "timestamp", "date"}
-    return [F.col(name) for name, kind in df.dtypes if kind in simple] or [F.lit(0)]
+    return [F.col(name) for name, kind in df.dtypes if kind in simple][:3] or [F.lit(0)]
 
 
 def patient_lookup(patients: DataFrame) -> DataFrame:
-    """(bundle, patient url) to natural key: the key is computed once, on the small side."""
+    """(bundle, patient url) to natural key: the key is computed once, on the small side.
+
+    Given silver versions, the newest one is picked here: a patient row is
+    identified by bundle and url, so one shuffle serves the choice and the join.
+    """
+    version = [c for c in ("ingest_time", "_tie") if c in patients.columns]
     keyed = patients.where(F.col("patient_url").isNotNull()).select(
-        "bundle_uuid", "patient_url", patient_key(F.col("identifiers")).alias("patient_natural_key")
+        "bundle_uuid", "patient_url", *version, patient_key(F.col("identifiers")).alias("patient_natural_key")
     )
-    return one_row_per(keyed, ["bundle_uuid", "patient_url"], ["patient_natural_key"])
+    order = [F.col(c).desc_nulls_last() for c in version] or [F.col("patient_natural_key").asc_nulls_last()]
+    return latest_per_key(keyed, ["bundle_uuid", "patient_url"], order).drop(*version)
 
 
-def link_patient(events: DataFrame, patients: DataFrame, ref_field: str) -> DataFrame:
+def link_patient(events: DataFrame, patients: DataFrame, ref_field: str | None = None) -> DataFrame:
     """Attach ``patient_natural_key`` through the event's patient reference.
 
-    Unresolved events keep a NULL key.
+    The url comes from the references (``ref_field``) or from a ``_patient_url``
+    column that is already there. Unresolved events keep a NULL key.
     """
-    with_url = events.withColumn("_patient_url", reference_url(F.col("references"), ref_field))
+    if ref_field:
+        events = events.withColumn("_patient_url", reference_url(F.col("references"), ref_field))
     linked = left_lookup(
-        with_url, patient_lookup(patients), [("bundle_uuid", "bundle_uuid"), ("_patient_url", "patient_url")]
+        events, patient_lookup(patients), [("bundle_uuid", "bundle_uuid"), ("_patient_url", "patient_url")]
     )
     return linked.drop("_patient_url")
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinlake.functions.clinical import value_kind, value_root_cause
@@ -43,19 +43,16 @@ def expect(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame,
     ``warn`` rules are only counted, ``drop`` rules split the rows, ``fail`` rules
     stop the job on the first bad row.
     """
-    drops = [r.name for r in rules if r.action == "drop"]
-    fails = [r for r in rules if r.action == "fail"]
     checked = df
-    for r in fails:
-        guard = F.when(_broken(r), F.raise_error(F.lit(f"expectation failed: {r.name}")))
-        checked = checked.where(guard.isNull())
-    flagged = flag_failures(checked, rules)
-    dropped = F.arrays_overlap("_failed", F.array(*[F.lit(d) for d in drops])) if drops else F.lit(False)
-    return (
-        flagged.where(~dropped).drop("_failed"),
-        flagged.where(dropped),
-        rule_counts(df, rules),
-    )
+    for r in rules:
+        if r.action == "fail":
+            guard = F.when(_broken(r), F.raise_error(F.lit(f"expectation failed: {r.name}")))
+            checked = checked.where(guard.isNull())
+    keep = F.lit(True)
+    for r in rules:
+        if r.action == "drop":
+            keep = keep & ~_broken(r)
+    return checked.where(keep), flag_failures(checked, rules).where(~keep), rule_counts(df, rules)
 
 
 def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -127,14 +124,20 @@ def integrity_report(
     return reduce(DataFrame.unionByName, parts)
 
 
-def with_share(df: DataFrame, count: str, out: str, digits: int, within: Sequence[str] = ()) -> DataFrame:
+def with_share(
+    df: DataFrame, count: str, out: str, digits: int, within: Sequence[str] = (), bounded: bool = False
+) -> DataFrame:
     """Percentage of the total (or of the ``within`` group) for an aggregated frame.
 
-    Totals are aggregated apart and joined back, so the frame is never moved into
-    a single window partition.
+    By default totals are aggregated apart and joined back, so the frame never
+    meets in one window partition; its input is then evaluated twice. For frames
+    whose groups come from a fixed label or code list, ``bounded`` uses a window
+    over the aggregated rows instead.
     """
     share = F.round(F.col(count) * 100.0 / F.col("_total"), digits)
-    if within:
+    if bounded:
+        joined = df.withColumn("_total", F.sum(count).over(Window.partitionBy(*within)))
+    elif within:
         totals = df.groupBy(*within).agg(F.sum(count).alias("_total"))
         cond = [F.col(f"a.{c}").eqNullSafe(F.col(f"t.{c}")) for c in within]
         joined = df.alias("a").join(totals.alias("t"), cond, "left").select("a.*", "t._total")
@@ -144,7 +147,7 @@ def with_share(df: DataFrame, count: str, out: str, digits: int, within: Sequenc
 
 
 def age_band_profile(dim_patient: DataFrame) -> DataFrame:
-    return with_share(dim_patient.groupBy("age_band").agg(F.count("*").alias("n")), "n", "pct", 1)
+    return with_share(dim_patient.groupBy("age_band").agg(F.count("*").alias("n")), "n", "pct", 1, bounded=True)
 
 
 def patient_profile(dim_patient: DataFrame) -> DataFrame:
@@ -192,7 +195,7 @@ def value_type_profile(fact_observation: DataFrame) -> DataFrame:
         F.round(F.count_if(F.col("is_abnormal_low")) * 100.0 / quantities, 2).alias("pct_low_of_qty"),
         F.round(F.count_if(F.col("is_abnormal_high")) * 100.0 / quantities, 2).alias("pct_high_of_qty"),
     )
-    return with_share(counted, "n", "pct", 2)
+    return with_share(counted, "n", "pct", 2, bounded=True)
 
 
 def _without_value(observations: DataFrame) -> DataFrame:
@@ -206,7 +209,7 @@ def no_value_profile(observation_gold: DataFrame, top: int = 30) -> DataFrame:
         F.count("value_raw").alias("has_value_raw"),
         F.count_if(F.try_variant_get("resource", "$.component", "string").isNotNull()).alias("has_component"),
     )
-    shared = with_share(counted, "no_value_count", "pct_of_category", 1, ["category"])
+    shared = with_share(counted, "no_value_count", "pct_of_category", 1, ["category"], bounded=True)
     return shared.orderBy(F.desc("no_value_count"), "category", "code", "code_display").limit(top)
 
 
@@ -214,7 +217,7 @@ def root_cause_profile(observation_gold: DataFrame) -> DataFrame:
     counted = _without_value(observation_gold).groupBy(value_root_cause(F.col("resource")).alias("root_cause")).agg(
         F.count("*").alias("n")
     )
-    return with_share(counted, "n", "pct", 2)
+    return with_share(counted, "n", "pct", 2, bounded=True)
 
 
 @dataclass(frozen=True)

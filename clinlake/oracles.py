@@ -1130,6 +1130,7 @@ def build() -> dict[str, str]:
         "chain_summary": f"""SELECT CASE WHEN NOT ({ok}) THEN 'Patient Search FAILED, Observation POST FAILED'
             WHEN post THEN 'Patient Search FAILED' ELSE 'Observation POST FAILED' END AS result, count(*) AS n FROM ({call}) GROUP BY 1""",
         "patient_pool": pool_sql(),
+        "patient_pool_reuse": "SELECT 1 AS visits, count(*) - 20 AS patients FROM customer UNION ALL SELECT 2, 20",
         "journey_plan": f"SELECT o_orderkey, array_to_string({plan_sql('(o_orderkey % 1000)')}, ',') AS plan FROM orders",
         "explode_events": f"SELECT patient_id, event_order, event_type FROM ({planned_events()})",
         "event_timing": f"""SELECT patient_id, event_order, {CLASS_SQL} AS patient_class, event_order * 2 AS hours_since_admit,
@@ -1152,6 +1153,7 @@ def build() -> dict[str, str]:
         "file_inventory": "SELECT count(*) AS file_count, true AS sized FROM customer",
         "track_files": "SELECT 'MOVED' AS message, true AS file_moved, count(*) AS n FROM customer",
         "purge_old_files": "SELECT 'old' AS part, count(*) AS n FROM customer UNION ALL SELECT 'new', 0",
+        "clean_source": "SELECT true AS deleted, count(*) AS n FROM customer",
         "land_by_type": """SELECT 'MOVED' AS message, count(*) AS n FROM customer UNION ALL SELECT 'SKIPPED (exists)', count(*) FROM customer
             UNION ALL SELECT 'lines', count(*) FROM customer""",
         "read_csv_lines": f"SELECT encounter_id, patient_id, total_claim_cost FROM ({enc_csv})",

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from clinlake.functions.keys import composite_key, location_key, organization_key, patient_key, practitioner_key
 from clinlake.functions.paths import try_path
 from clinlake.operators.current import scd1
-from clinlake.operators.links import link_patient, location_org
+from clinlake.operators.links import link_patient, location_org, reference_url
 from clinlake.operators.quality import Rule, expect, rule_counts
+from clinlake.plans.gold_specs import PATIENT
+from clinlake.plans.silver import newest
 
 RESERVED = {"resource", "resource_last_updated"}
 JOINS = ("entity", "event", "correlated", "bridge")
@@ -126,50 +128,73 @@ def last_updated(batch_time: Column | None) -> Column:
     return F.coalesce(try_path("resource", "$.meta.lastUpdated").try_cast("timestamp"), now)
 
 
-def resolve(
-    spec: GoldSpec,
-    silver: DataFrame,
-    patients: DataFrame | None,
-    batch_time: Column | None = None,
-    with_bundle: bool = False,
-) -> DataFrame:
-    """All versions of a gold table's rows, before the keyed upsert.
+def project(spec: GoldSpec, rows: DataFrame, batch_time: Column | None = None) -> DataFrame:
+    """Gold columns and key parts of silver rows: narrow, no join yet.
 
-    ``with_bundle`` keeps ``bundle_uuid``, which encounter lookups join on.
+    Version columns of rows that are not collapsed yet pass through.
     """
-    rows = silver.where(spec.where) if spec.where else silver
-    plain = {n: column_of(v) for n, v in spec.columns.items() if v != "{patient}"}
-    strategy = spec.natural_key["strategy"]
-    parts = spec.natural_key.get("components", [])
-    key_inputs = {f"_k{i}": column_of(v) for i, (v, _) in enumerate(parts) if v != "{patient}"}
-    wide = rows.select(
+    kept = rows.where(spec.where) if spec.where else rows
+    plain = {n: column_of(v) for n, v in spec.columns.items() if v != PATIENT}
+    key = spec.natural_key
+    parts = [] if key["strategy"] != "composite" else [v for v, _ in key["components"]]
+    key_inputs = {f"_k{i}": column_of(v) for i, v in enumerate(parts) if v != PATIENT}
+    if key["strategy"] != "composite":
+        key_inputs["_key"] = F.expr(key["sql"])
+    if spec.join == "event":
+        key_inputs["_patient_url"] = reference_url(F.col("references"), spec.patient_ref_field)
+    return kept.select(
+        f"{spec.source}_uuid",
+        *[c for c in ("ingest_time", "_tie") if c in rows.columns],
         "bundle_uuid",
-        "references",
-        *[c.alias(n) for n, c in plain.items() if n != "references"],
+        *[c.alias(n) for n, c in plain.items() if n not in ("bundle_uuid", f"{spec.source}_uuid")],
         *[c.alias(n) for n, c in key_inputs.items()],
-        *([F.expr(spec.natural_key["sql"]).alias("_key")] if strategy != "composite" else []),
-        F.array(f"{spec.source}_uuid").alias(f"source_{spec.source}_uuids"),
         last_updated(batch_time).alias("resource_last_updated"),
-        F.col("resource"),
+        "resource",
     )
-    if spec.join == "event":
-        wide = link_patient(wide, patients, spec.patient_ref_field)
-    if strategy == "composite":
+
+
+def finish(spec: GoldSpec, projected: DataFrame, patients: DataFrame | None, with_bundle: bool = False) -> DataFrame:
+    """Attach the patient key and the natural key to projected rows."""
+    rows = link_patient(projected, patients) if spec.join == "event" else projected
+    if spec.natural_key["strategy"] == "composite":
         key = composite_key(
-            [(F.col("patient_natural_key") if v == "{patient}" else F.col(f"_k{i}"), d) for i, (v, d) in enumerate(parts)]
+            [
+                (F.col("patient_natural_key") if v == PATIENT else F.col(f"_k{i}"), default)
+                for i, (v, default) in enumerate(spec.natural_key["components"])
+            ]
         )
     else:
         key = F.col("_key")
-    return wide.select(
+    return rows.select(
         key.alias(spec.key),
         *(["bundle_uuid"] if with_bundle else []),
         *spec.columns,
-        f"source_{spec.source}_uuids",
+        F.array(f"{spec.source}_uuid").alias(f"source_{spec.source}_uuids"),
         "resource_last_updated",
         "resource",
     )
 
 
+def resolve(
+    spec: GoldSpec,
+    silver: DataFrame,
+    patients: DataFrame | None,
+    batch_time: Column | None = None,
+    with_bundle: bool = False,
+) -> DataFrame:
+    """All versions of a gold table's rows, before the keyed upsert.
+
+    ``silver`` may be a current silver table, or silver versions that carry
+    ``ingest_time`` and ``_tie``. Versions are collapsed here, after the
+    projection: a reader without interest in the document never shuffles it.
+    ``with_bundle`` keeps ``bundle_uuid``, which encounter lookups join on.
+    """
+    rows = project(spec, silver, batch_time)
+    if "_tie" in rows.columns:
+        rows = newest(rows, spec.source)
+    return finish(spec, rows, patients, with_bundle)
+
+
 def gold_table(
     spec: GoldSpec, silver: DataFrame, patients: DataFrame | None = None, batch_time: Column | None = None
 ) -> DataFrame:

@@ -36,6 +36,16 @@ class Field:
         return bool(MEASURE.search(self.expr))
 
 
+@dataclass(frozen=True)
+class Join:
+    """Many-to-one LEFT join of a dimension; its columns get ``prefix``."""
+
+    table: str
+    on: str
+    columns: tuple[str, ...]
+    prefix: str
+
+
 @dataclass(frozen=True)
 class MetricView:
     name: str
@@ -44,6 +54,18 @@ class MetricView:
     measures: tuple[Field, ...]
     comment: str = ""
     inputs: tuple[str, ...] = field(default=())
+    joins: tuple[Join, ...] = field(default=())
+
+    def rows(self, tables: Mapping[str, DataFrame], used: Sequence[str]) -> DataFrame:
+        """Source rows with the joins that the ``used`` expressions mention.
+
+        A many-to-one LEFT join never changes the rows, so an unused one is skipped.
+        """
+        out = self.source(tables)
+        for j in self.joins:
+            if any(re.search(rf"\b{j.prefix}{c}\b", text) for c in j.columns for text in used):
+                out = metric_join(out, tables[j.table], j.on, j.columns, j.prefix)
+        return out
 
 
 def _pick(fields: Sequence[Field], names: Sequence[str], kind: str) -> list[Field]:
@@ -90,7 +112,7 @@ def query(
     dims = _pick(view.dimensions, dimensions, "dimension")
     chosen = _pick(view.measures, measures, "measure")
     base = _with_parts(view, chosen)
-    source = view.source(tables)
+    source = view.rows(tables, [f.expr for f in (*dims, *base)])
     grouped = source.groupBy(*[F.expr(d.expr.replace("{today}", today)).alias(d.name) for d in dims])
     totals = grouped.agg(*[F.expr(m.expr.replace("{today}", today)).alias(m.name) for m in base])
     return totals.select(*dimensions, *[F.expr(_expression(view, m)).alias(m.name) for m in chosen])
@@ -135,20 +157,11 @@ NOW_AGE = "floor(datediff({today}, birth_date) / 365.25)"
 YOUNG = [("< 18", "Pediatric (0-17)"), ("BETWEEN 18 AND 39", "Young Adult (18-39)"), ("BETWEEN 40 AND 64", "Middle Age (40-64)")]
 
 
-def _encounters(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return metric_join(
-        tables["fact_encounter"],
-        tables["dim_patient"],
-        "patient_natural_key",
-        ["gender", "birth_date", "address_state"],
-        "patient_",
-    )
-
-
 ENCOUNTER_UTILIZATION = MetricView(
     name="mv_encounter_utilization",
-    source=_encounters,
+    source=lambda tables: tables["fact_encounter"],
     inputs=("fact_encounter", "dim_patient"),
+    joins=(Join("dim_patient", "patient_natural_key", ("gender", "birth_date", "address_state"), "patient_"),),
     comment="Visit volume, length of stay, emergency and inpatient shares.",
     dimensions=(
         Field("encounter_month", "date_trunc('MONTH', period_start)", "Encounter Month", "Month the encounter began", "month", ("visit month", "month of visit")),

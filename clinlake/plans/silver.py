@@ -55,6 +55,7 @@ def extract_silver(
         "bundle_uuid",
         F.col("fullUrl").alias(f"{name}_url"),
         "ingest_time",
+        *(["_tie"] if "_tie" in resources.columns else []),
         extract_references(doc, plan).alias("references"),
         extract_identifiers(doc, has_identifier).alias("identifiers"),
         extract_codes(doc, resource_type).alias("codes"),
@@ -74,15 +75,30 @@ def silver_table(
 ) -> DataFrame:
     """Current silver rows of one type: newest ingest per resource wins.
 
-    Rows without a key (no ``fullUrl``) are left to ``keyless_rows``.
-    The newest version is picked on the raw resource row, so that references and
-    codes are extracted only for the rows that survive.
+    Rows without a key (no ``fullUrl``) are left to ``keyless_rows``. Extraction is
+    a narrow projection below the upsert, so a reader that does not ask for the
+    document shuffles the extracted columns only.
     """
-    typed = resources.where((F.col("resourceType") == resource_type) & F.col("resource_uuid").isNotNull())
-    breaker = F.col("entry_pos") if "entry_pos" in typed.columns else F.xxhash64(F.to_json("resource"))
-    newest = scd1(typed.withColumn("_tie", breaker), ["resource_uuid"], "ingest_time", ["_tie"], ["_tie"])
-    rows = extract_silver(newest, resource_type, plan, has_identifier, extended_paths)
-    return with_comments(rows.drop("ingest_time"), SILVER_COMMENTS)
+    rows = versions(resources, resource_type, plan, has_identifier, extended_paths)
+    return with_comments(newest(rows, resource_type), SILVER_COMMENTS)
+
+
+def versions(
+    resources: DataFrame,
+    resource_type: str,
+    plan: RefPlan,
+    has_identifier: bool = True,
+    extended_paths: bool = False,
+) -> DataFrame:
+    """All silver versions of one type, with the columns that order them."""
+    breaker = F.col("entry_pos") if "entry_pos" in resources.columns else F.xxhash64(F.to_json("resource"))
+    keyed = resources.where(F.col("resource_uuid").isNotNull()).withColumn("_tie", breaker)
+    return extract_silver(keyed, resource_type, plan, has_identifier, extended_paths)
+
+
+def newest(rows: DataFrame, resource_type: str) -> DataFrame:
+    """Newest version per resource; equal ingest times go to the later bundle entry."""
+    return scd1(rows, [f"{resource_type.lower()}_uuid"], "ingest_time", ["ingest_time", "_tie"], ["_tie"])
 
 
 def keyless_rows(resources: DataFrame) -> DataFrame:

@@ -39,7 +39,10 @@ class Lakehouse:
 
     @property
     def resources(self) -> KeyedLog:
-        return KeyedLog(self.table("resources"), ("resource_uuid",), "ingest_time")
+        """Resource versions by type. Ingestion stays narrow; silver collapses its own type."""
+        return KeyedLog(
+            self.table("resources"), ("resource_uuid",), "ingest_time", partition_by=("resourceType",), collapse=False
+        )
 
 
 def ingest(spark: SparkSession, source: str, lake: Lakehouse) -> None:
@@ -53,8 +56,12 @@ def ingest(spark: SparkSession, source: str, lake: Lakehouse) -> None:
 
 
 def silver(spark: SparkSession, lake: Lakehouse) -> dict[str, DataFrame]:
-    """One silver table per discovered type, keyed by lower-case type name."""
-    resources = lake.resources.current(spark)
+    """One silver table per discovered type, keyed by lower-case type name.
+
+    Each table reads its own partition of the log, so all types together scan and
+    shuffle every version once.
+    """
+    resources = lake.resources.versions(spark)
     plans, with_ids = discover(explode_fields(resources))
     return {
         kind.lower(): silver_table(resources, kind, plan, kind in with_ids) for kind, plan in plans.items() if kind

@@ -88,14 +88,21 @@ def silver_rows(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     )
 
 
+def silver_versions(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """All versions; the gold builder collapses them after its projection."""
+    return silver.versions(
+        resource_rows(spark, sf, kind), kind, silver.DECLARED_PLANS[kind], has_identifier=kind in HAS_IDENTIFIER
+    )
+
+
 HAS_IDENTIFIER = {"Patient", "Practitioner", "Organization"}
 
 
 def spec_gold(spark: SparkSession, sf: str, table: str) -> DataFrame:
     spec = gold.load_spec(SPEC_BY_TABLE[table])
     kind = next(k for k in DOCUMENTS if k.lower() == spec.source)
-    patients = silver_rows(spark, sf, "Patient") if spec.join == "event" else None
-    return gold.gold_table(spec, silver_rows(spark, sf, kind), patients, batch_time())
+    patients = silver_versions(spark, sf, "Patient") if spec.join == "event" else None
+    return gold.gold_table(spec, silver_versions(spark, sf, kind), patients, batch_time())
 
 
 def patients_gold(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,7 +146,7 @@ def encounter_links(spark: SparkSession, sf: str) -> DataFrame:
     """All encounter versions with bundle, url and natural key, for lookups."""
     spec = gold.load_spec(SPEC_BY_TABLE["encounter_gold"])
     return gold.resolve(
-        spec, silver_rows(spark, sf, "Encounter"), silver_rows(spark, sf, "Patient"), batch_time(), with_bundle=True
+        spec, silver_versions(spark, sf, "Encounter"), silver_versions(spark, sf, "Patient"), batch_time(), with_bundle=True
     )
 
 
@@ -151,7 +158,7 @@ def encounter_utilization_from_bundles(spark: SparkSession, sf: str) -> DataFram
     """Bundle texts to metric view, through every layer."""
     resources = documents.explode_entries(documents.parse_documents(order_bundles(spark, sf)))
     patients = silver.silver_table(resources, "Patient", silver.DECLARED_PLANS["Patient"])
-    encounters = silver.silver_table(resources, "Encounter", silver.DECLARED_PLANS["Encounter"], has_identifier=False)
+    encounters = silver.versions(resources, "Encounter", silver.DECLARED_PLANS["Encounter"], has_identifier=False)
     spec = gold.load_spec(SPEC_BY_TABLE["encounter_gold"])
     tables = {
         "fact_encounter": mart.fact_encounter(gold.gold_table(spec, encounters, patients, batch_time())),
@@ -297,7 +304,7 @@ def bridge_encounter_observation(spark, sf):
         "columns": SPEC_BY_TABLE["observation_gold"]["columns"]
         | {"_encounter_ref_url": "get(filter(references, r -> r.field = 'encounter'), 0).url", "_bundle_uuid": "bundle_uuid"}
     })
-    rows = gold.gold_table(spec, silver_rows(spark, sf, "Observation"), silver_rows(spark, sf, "Patient"), batch_time())
+    rows = gold.gold_table(spec, silver_versions(spark, sf, "Observation"), silver_versions(spark, sf, "Patient"), batch_time())
     return mart.bridge_encounter(rows, encounter_links(spark, sf), "observation_natural_key")
 
 
@@ -1430,6 +1437,18 @@ def purge_old_files(spark, sf):
     )
 
 
+@query
+def clean_source(spark, sf):
+    """Landed files older than the retention are deleted from the source folder."""
+    import datetime as dt
+
+    path, target, out = write_bundle_files(spark, sf), scratch_path(spark, "landing"), scratch_path(spark, "tracker")
+    streams.append_stream(files.track_files(spark, path, target), out, scratch_path(spark, "checkpoint"))
+    later = dt.datetime.now() + dt.timedelta(days=20)
+    removed = files.clean_source(spark, path, spark.read.parquet(out), later, 14, dry_run=False)
+    return removed.groupBy("deleted").agg(F.count("*").alias("n"))
+
+
 @query
 def land_by_type(spark, sf):
     """Run folders of CSV drops (one run per patient) to one folder per type, then read as lines."""

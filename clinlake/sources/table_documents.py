@@ -472,6 +472,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Enough partitions for the costly document stage.
+
+    A table stored in a few splits would be rendered and parsed by a few tasks
+    only. Large tables have many splits and pass through without a shuffle.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
+
+
 def source_rows(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """Source rows of a document family with the columns its expressions use."""
     nation = read_table(spark, sf_dir, "nation")
@@ -482,11 +492,11 @@ def source_rows(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
         named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         return read_table(spark, sf_dir, "supplier").join(named, F.col("s_nationkey") == F.col("n_nationkey"))
     if source == "orders":
-        return read_table(spark, sf_dir, "orders")
+        return spread(read_table(spark, sf_dir, "orders"), "o_orderkey")
     if source == "parts":
         return read_table(spark, sf_dir, "part")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return read_table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return spread(read_table(spark, sf_dir, "lineitem"), "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def document_text(kind: str) -> str:
@@ -529,9 +539,11 @@ def order_bundles(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("E
     Built row by row after one join, so a customer with many orders is never
     gathered. The patient repeats in every bundle and is merged downstream.
     """
-    orders = read_table(spark, sf_dir, "orders")
+    orders = source_rows(spark, sf_dir, "orders")
     customers = source_rows(spark, sf_dir, "customers")
-    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    # Rendering is the costly part, so the join is shuffled: broadcasting the orders
+    # would leave it to the few tasks that scan the customers.
+    joined = orders.join(customers.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
 
     def entry(kind: str) -> str:
         tail, text = DOCUMENTS[kind][2], document_text(kind)

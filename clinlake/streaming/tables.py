@@ -9,7 +9,7 @@ files and nothing is counted twice.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,17 +42,23 @@ def batch_writer(path: str, clean: Callable[[DataFrame], DataFrame] | None = Non
 
 @dataclass(frozen=True)
 class KeyedLog:
-    """All versions of a keyed table below ``path``, one directory per batch."""
+    """All versions of a keyed table below ``path``, one directory per batch.
+
+    ``partition_by`` lays each batch out by columns that readers filter on.
+    ``collapse`` keeps one version per key and batch at write time; switching it
+    off makes the write narrow (no shuffle) and leaves the work to the readers.
+    """
 
     path: str
     keys: tuple[str, ...]
     sequence_by: str
     deleted: str | None = None
+    partition_by: tuple[str, ...] = ()
+    collapse: bool = True
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Keep the newest version per key inside the batch and store it."""
-        newest = scd1(batch, self.keys, self.sequence_by)
-        newest.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        rows = scd1(batch, self.keys, self.sequence_by) if self.collapse else batch
+        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/batch_id={batch_id}")
 
     def upsert_stream(self, df: DataFrame, checkpoint: str) -> StreamingQuery:
         return drain(df.writeStream.foreachBatch(self.write_batch), checkpoint)
@@ -69,7 +75,10 @@ class KeyedLog:
 
     def changes(self, spark: SparkSession, from_version: int | None = None) -> DataFrame:
         """Change rows by batch: each batch is one version of the table."""
-        return change_feed(self.versions(spark), self.keys, "batch_id", self.deleted, from_version)
+        log = self.versions(spark)
+        if not self.collapse:
+            log = scd1(log, [*self.keys, "batch_id"], self.sequence_by)
+        return change_feed(log, self.keys, "batch_id", self.deleted, from_version)
 
     def stream(self, spark: SparkSession) -> DataFrame:
         """New versions as a stream, updates included, for downstream tables."""
@@ -78,8 +87,9 @@ class KeyedLog:
 
     def compact(self, spark: SparkSession, target: str) -> KeyedLog:
         """Write the current rows as batch 0 of a new log at ``target``."""
-        self.current(spark).write.mode("overwrite").parquet(f"{target}/batch_id=0")
-        return KeyedLog(target, self.keys, self.sequence_by, self.deleted)
+        rows = self.current(spark)
+        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{target}/batch_id=0")
+        return replace(self, path=target)
 
 
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], files: int, hot_key_splits: bool = True) -> None:
