@@ -12,6 +12,7 @@ RESPONSE_SCHEMA = (
     "response_headers string, response_url string, response_time_seconds double, "
     "response_status_code int, response_text string"
 )
+NUMBERS = {"response_time_seconds": "float64", "response_status_code": "Int32"}
 Transport = Callable[[str, str, str | None], Mapping]
 
 
@@ -32,7 +33,12 @@ def call_endpoint(df: DataFrame, base_url: str, connect: Callable[[], Transport]
             rows = []
             for method, resource, action, data in zip(batch["http_method"], batch["resource"], batch["action"], batch["data"]):
                 rows.append(_call(send, base_url, method, resource, action, data))
-            yield pd.concat([batch.reset_index(drop=True), pd.DataFrame(rows)], axis=1).reindex(columns=names)
+            out = {c: batch[c].reset_index(drop=True) for c in batch.columns}
+            for c in names[len(out) :]:
+                values = [r.get(c) for r in rows]
+                out[c] = pd.Series(values, dtype=NUMBERS.get(c, "object"))
+            # Python strings throughout: string extension arrays may come in chunks.
+            yield pd.DataFrame({c: v.astype(object) if pd.api.types.is_string_dtype(v) else v for c, v in out.items()})
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return df.mapInPandas(run, f"{kept}, {RESPONSE_SCHEMA}, error string")
