@@ -1057,6 +1057,9 @@ def build() -> dict[str, str]:
             f"SELECT '{n}' AS rule, '{actions[n]}' AS action, count(*) FILTER (WHERE NOT ({p})) AS failed, count(*) AS total FROM {genc}"
             for n, p in rules.items()
         ),
+        "gold_rule_counts": f"""SELECT 'coverage_natural_key_present' AS rule, 'drop' AS action, CAST(0 AS BIGINT) AS failed, count(*) AS total FROM orders
+            UNION ALL SELECT 'patient_resolved', 'warn', count(*) FILTER (WHERE ({subject_key()}) IS NULL), count(*) FROM orders
+            UNION ALL SELECT 'status_known', 'warn', 0, count(*) FROM orders""",
         "quarantine": f"SELECT encounter_natural_key, {failed} AS failed FROM {genc} WHERE NOT ({' AND '.join(f'({p})' for p in rules.values())})",
         "integrity_report": integrity_sql(),
         "profile_age_bands": f"""SELECT age_band, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS pct

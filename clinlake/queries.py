@@ -996,6 +996,13 @@ def rule_counts(spark, sf):
     return quality.rule_counts(spec_gold(spark, sf, "encounter_gold"), ENCOUNTER_RULES)
 
 
+@query
+def gold_rule_counts(spark, sf):
+    """Failures per rule of a gold spec, over all versions."""
+    spec = gold.load_spec(SPEC_BY_TABLE["coverage_gold"])
+    return gold.spec_rule_counts(spec, silver_rows(spark, sf, "Coverage"), silver_rows(spark, sf, "Patient"), batch_time())
+
+
 @query
 def quarantine(spark, sf):
     rows = quality.quarantine(spec_gold(spark, sf, "encounter_gold"), ENCOUNTER_RULES)

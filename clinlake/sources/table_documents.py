@@ -428,6 +428,12 @@ IDENTIFIERS: dict[str, list[tuple[str, str, str, str | None]]] = {
 }
 
 
+def _present(expr: str) -> str:
+    """Condition under which a ``CASE`` expression has a value."""
+    plain = re.fullmatch(r"CASE WHEN ((?:(?! THEN ).)+) THEN (?:(?! WHEN | ELSE ).)+ END", expr)
+    return f"({plain.group(1)})" if plain else f"(({expr}) IS NOT NULL)"
+
+
 def document_sql(paths: dict[str, str]) -> str:
     """Nested ``named_struct``/``array`` SQL from a path map."""
     tree: dict = {}
@@ -451,7 +457,7 @@ def document_sql(paths: dict[str, str]) -> str:
             body = f"array({body})" if step.endswith("[0]") else body
             # An object whose values may all be absent is left out altogether.
             if isinstance(child, dict) and all(leaf.startswith("CASE") for leaf in leaves(child)):
-                some = " OR ".join(f"({leaf}) IS NOT NULL" for leaf in leaves(child))
+                some = " OR ".join(dict.fromkeys(_present(leaf) for leaf in leaves(child)))
                 body = f"CASE WHEN {some} THEN {body} END"
             items.append(f"'{name}', {body}")
         return f"named_struct({', '.join(items)})"
