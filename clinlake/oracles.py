@@ -1117,7 +1117,8 @@ def build() -> dict[str, str]:
             UNION ALL SELECT 'patient_id_not_null', 'drop', count(*) FILTER (WHERE patient_id IS NULL), count(*) FROM ({enc_csv})
             UNION ALL SELECT 'encounter_id_not_null', 'drop', count(*) FILTER (WHERE encounter_id IS NULL), count(*) FROM ({enc_csv})""",
         "land_records": f"""SELECT CAST(event_id AS VARCHAR) AS bundle_uuid, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS source_system,
-            strftime(ts, '{STAMP}') AS event_timestamp, '{{"Host":"' || event_type || '"}}' AS detail FROM events""",
+            strftime(ts, '{STAMP}') AS event_timestamp, '{{"x_forwarded_email":null,"x_forwarded_host":"' || event_type
+            || '","x_forwarded_preferred_username":null,"x_forwarded_user":null,"x_real_ip":null,"x_request_id":"' || event_id || '"}}' AS detail FROM events""",
     }
     call = """SELECT o_orderkey, o_orderkey % 3 = 0 AS post, CASE WHEN o_orderkey % 17 = 0 THEN '' WHEN o_orderkey % 19 = 0 THEN 'Broken'
         WHEN o_orderkey % 3 = 0 THEN 'Observation' ELSE 'Patient' END AS resource FROM orders"""

@@ -261,8 +261,8 @@ def keyless_patients(silver: DataFrame, batch_time: Column | None = None) -> Dat
     return resolve_patients(silver, batch_time).where(F.col("patient_natural_key").isNull())
 
 
-def practitioner_gold(silver: DataFrame, batch_time: Column | None = None) -> DataFrame:
-    rows = _with_identifiers(silver).select(
+def resolve_practitioners(silver: DataFrame, batch_time: Column | None = None) -> DataFrame:
+    return _with_identifiers(silver).select(
         practitioner_key(F.col("identifiers")).alias("practitioner_natural_key"),
         "practitioner_url",
         "bundle_uuid",
@@ -277,11 +277,14 @@ def practitioner_gold(silver: DataFrame, batch_time: Column | None = None) -> Da
         last_updated(batch_time).alias("resource_last_updated"),
         "resource",
     )
-    return _keyed(rows, "practitioner")
 
 
-def organization_gold(silver: DataFrame, batch_time: Column | None = None) -> DataFrame:
-    rows = silver.select(
+def practitioner_gold(silver: DataFrame, batch_time: Column | None = None) -> DataFrame:
+    return _keyed(resolve_practitioners(silver, batch_time), "practitioner")
+
+
+def resolve_organizations(silver: DataFrame, batch_time: Column | None = None) -> DataFrame:
+    return silver.select(
         organization_key(F.col("identifiers"), try_path("resource", "$.name")).alias("organization_natural_key"),
         "organization_url",
         "bundle_uuid",
@@ -297,11 +300,14 @@ def organization_gold(silver: DataFrame, batch_time: Column | None = None) -> Da
         last_updated(batch_time).alias("resource_last_updated"),
         "resource",
     )
-    return _keyed(rows, "organization")
 
 
-def location_gold(silver: DataFrame, organizations: DataFrame, batch_time: Column | None = None) -> DataFrame:
-    rows = location_org(silver, organizations).select(
+def organization_gold(silver: DataFrame, batch_time: Column | None = None) -> DataFrame:
+    return _keyed(resolve_organizations(silver, batch_time), "organization")
+
+
+def resolve_locations(silver: DataFrame, organizations: DataFrame, batch_time: Column | None = None) -> DataFrame:
+    return location_org(silver, organizations).select(
         location_key(try_path("resource", "$.name"), F.col("managing_organization_nk")).alias("location_natural_key"),
         "location_url",
         "bundle_uuid",
@@ -316,7 +322,10 @@ def location_gold(silver: DataFrame, organizations: DataFrame, batch_time: Colum
         last_updated(batch_time).alias("resource_last_updated"),
         "resource",
     )
-    return _keyed(rows, "location")
+
+
+def location_gold(silver: DataFrame, organizations: DataFrame, batch_time: Column | None = None) -> DataFrame:
+    return _keyed(resolve_locations(silver, organizations, batch_time), "location")
 
 
 def patient_identity_bridge(silver: DataFrame, batch_time: Column | None = None) -> DataFrame:

@@ -106,14 +106,18 @@ def keyless_rows(resources: DataFrame) -> DataFrame:
     return resources.where(F.col("resource_uuid").isNull())
 
 
-def discover(fields: DataFrame) -> tuple[dict[str, RefPlan], set[str]]:
-    """First pass: reference plans per type, and the types that carry identifiers."""
-    schemas = infer_schema(fields)
-    plans = reference_plans(schemas)
+def plans_of(schemas: DataFrame) -> tuple[dict[str, RefPlan], set[str]]:
+    """Reference plans per type, and the types that carry identifiers, from merged schemas."""
+    plans = {kind: plan for kind, plan in reference_plans(schemas).items() if kind}
     with_ids = {r.resourceType for r in schemas.where("column_name = 'identifier'").select("resourceType").collect()}
     return plans, with_ids
 
 
+def discover(fields: DataFrame) -> tuple[dict[str, RefPlan], set[str]]:
+    """``plans_of`` over a batch of exploded fields."""
+    return plans_of(infer_schema(fields))
+
+
 # Reference fields of the resource types of the clinical exchange standard that
 # the gold specs read. Used where no discovery pass has been run yet.
 DECLARED_PLANS: dict[str, RefPlan] = {

@@ -1,24 +1,27 @@
 """Stage order of the document tables: ingestion, silver, gold, mart.
 
-Each stage drains what is new and stops. ``full_refresh`` starts new versions of
-all tables. Silver tables exist only for types seen by an earlier ingestion.
+Every stage drains what is new and stops: the cost of a run follows the new files,
+not the size of the tables. ``full_refresh`` starts new versions of all tables.
+Silver tables exist only for types whose schema an ingestion has seen.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clinlake.operators.documents import explode_entries, explode_fields, parse_documents
+from clinlake.operators.quality import expect
 from clinlake.plans import gold, mart
 from clinlake.plans.gold_specs import GOLD_SPECS
-from clinlake.plans.silver import discover, silver_table
+from clinlake.plans.silver import newest, plans_of, versions
 from clinlake.sources.bundles import read_bundles
-from clinlake.streaming.tables import KeyedLog, append_stream
+from clinlake.streaming.tables import KeyedLog, append_stream, drain, latest_batch, schema_stream
 
 
 @dataclass(frozen=True)
@@ -39,51 +42,112 @@ class Lakehouse:
 
     @property
     def resources(self) -> KeyedLog:
-        """Resource versions by type. Ingestion stays narrow; silver collapses its own type."""
+        """Resource versions by type. Ingestion stays narrow; readers collapse their own type."""
         return KeyedLog(
             self.table("resources"), ("resource_uuid",), "ingest_time", partition_by=("resourceType",), collapse=False
         )
 
+    def gold(self, table: str, keys: tuple[str, ...]) -> KeyedLog:
+        return KeyedLog(self.table(f"gold/{table}"), keys, "resource_last_updated")
+
 
 def ingest(spark: SparkSession, source: str, lake: Lakehouse) -> None:
-    """New bundle files to raw rows and resource versions; nothing new, no change."""
-    raw = read_bundles(spark, source)
-    append_stream(raw, lake.table("bundles"), lake.checkpoint("bundles"))
-    schema = spark.read.parquet(lake.table("bundles")).schema
-    stored = spark.readStream.schema(schema).parquet(lake.table("bundles"))
-    resources = explode_entries(parse_documents(stored)).where("resource_uuid IS NOT NULL")
+    """New bundle files to raw rows, resource versions and merged schemas."""
+    append_stream(read_bundles(spark, source), lake.table("bundles"), lake.checkpoint("bundles"))
+    raw = stream_of(spark, lake.table("bundles"))
+    resources = explode_entries(parse_documents(raw)).where("resource_uuid IS NOT NULL AND resourceType IS NOT NULL")
     lake.resources.upsert_stream(resources, lake.checkpoint("resources"))
+    fields = explode_fields(stream_of(spark, lake.table("resources")))
+    schema_stream(fields, lake.table("schemas"), lake.checkpoint("schemas"))
+
+
+def stream_of(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
-def silver(spark: SparkSession, lake: Lakehouse) -> dict[str, DataFrame]:
-    """One silver table per discovered type, keyed by lower-case type name.
+def silver(spark: SparkSession, lake: Lakehouse) -> list[str]:
+    """New resource versions to silver versions, one table per discovered type.
 
-    Each table reads its own partition of the log, so all types together scan and
-    shuffle every version once.
+    A narrow step: each type reads its own partition of the batch and appends.
+    Returns the discovered types.
     """
-    resources = lake.resources.versions(spark)
-    plans, with_ids = discover(explode_fields(resources))
-    return {
-        kind.lower(): silver_table(resources, kind, plan, kind in with_ids) for kind, plan in plans.items() if kind
-    }
+    plans, with_ids = plans_of(latest_batch(spark, lake.table("schemas")))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for kind, plan in plans.items():
+            rows = versions(batch.where(F.col("resourceType") == kind), kind, plan, kind in with_ids)
+            rows.write.mode("overwrite").parquet(f"{lake.table('silver/' + kind.lower())}/batch_id={batch_id}")
+
+    drain(stream_of(spark, lake.table("resources")).writeStream.foreachBatch(write), lake.checkpoint("silver"))
+    return sorted(plans)
+
+
+def silver_table(spark: SparkSession, lake: Lakehouse, resource_type: str) -> DataFrame:
+    """Current silver rows of one type."""
+    return newest(spark.read.parquet(lake.table(f"silver/{resource_type.lower()}")).drop("batch_id"), resource_type)
+
+
+def gold_builders(
+    spark: SparkSession, lake: Lakehouse, kinds: list[str], batch_time: Column | None = None
+) -> dict[str, tuple[str, tuple[str, ...], Callable[[DataFrame], DataFrame]]]:
+    """Gold table -> (silver type, keys, resolver of a batch of silver versions).
+
+    Events join the patients read as a table (stream-static), so only the new
+    events move.
+    """
+    present = {k.lower() for k in kinds}
 
+    def stored(kind: str) -> DataFrame:
+        return spark.read.parquet(lake.table(f"silver/{kind}")).drop("batch_id")
 
-def gold_tables(tables: Mapping[str, DataFrame], batch_time: Column | None = None) -> dict[str, DataFrame]:
-    """Gold tables for every silver table that is present."""
-    out: dict[str, DataFrame] = {}
-    if "patient" in tables:
-        out["patient_gold"] = gold.patient_gold(tables["patient"], batch_time)
-        out["patient_identity_bridge"] = gold.patient_identity_bridge(tables["patient"], batch_time)
-    if "practitioner" in tables:
-        out["practitioner_gold"] = gold.practitioner_gold(tables["practitioner"], batch_time)
-    if "organization" in tables:
-        out["organization_gold"] = gold.organization_gold(tables["organization"], batch_time)
-        if "location" in tables:
-            out["location_gold"] = gold.location_gold(tables["location"], tables["organization"], batch_time)
+    out: dict[str, tuple[str, tuple[str, ...], Callable[[DataFrame], DataFrame]]] = {}
+    entities = {
+        "patient_gold": ("patient", gold.resolve_patients),
+        "practitioner_gold": ("practitioner", gold.resolve_practitioners),
+        "organization_gold": ("organization", gold.resolve_organizations),
+    }
+    for table, (kind, resolver) in entities.items():
+        if kind in present:
+            out[table] = (kind, (f"{kind}_natural_key",), lambda b, r=resolver, k=kind: r(newest(b, k), batch_time))
+    if "patient" in present:
+        keys = ("patient_natural_key", "identifier_system", "identifier_value")
+        out["patient_identity_bridge"] = (
+            "patient", keys, lambda b: gold.patient_identity_bridge(newest(b, "patient"), batch_time),
+        )
+    if {"location", "organization"} <= present:
+        out["location_gold"] = (
+            "location", ("location_natural_key",),
+            lambda b: gold.resolve_locations(newest(b, "location"), newest(stored("organization"), "organization"), batch_time),
+        )
     for raw in GOLD_SPECS:
         spec = gold.load_spec(raw)
-        if spec.source in tables and (spec.join == "entity" or "patient" in tables):
-            out[spec.table] = gold.gold_table(spec, tables[spec.source], tables.get("patient"), batch_time)
+        if spec.source in present and (spec.join == "entity" or "patient" in present):
+
+            def resolver(batch: DataFrame, spec=spec) -> DataFrame:
+                patients = stored("patient") if spec.join == "event" else None
+                return expect(gold.resolve(spec, batch, patients, batch_time), spec.rules)[0]
+
+            out[spec.table] = (spec.source, (spec.key,), resolver)
+    return out
+
+
+def gold_stage(
+    spark: SparkSession, lake: Lakehouse, kinds: list[str], batch_time: Column | None = None
+) -> dict[str, DataFrame]:
+    """New silver versions to gold logs; returns the current rows per gold table."""
+    out = {}
+    for table, (kind, keys, resolver) in gold_builders(spark, lake, kinds, batch_time).items():
+        log = lake.gold(table, keys)
+
+        def write(batch: DataFrame, batch_id: int, log=log, resolver=resolver) -> None:
+            rows = resolver(batch.drop("batch_id"))
+            for key in log.keys:
+                rows = rows.where(F.col(key).isNotNull())
+            log.write_batch(rows, batch_id)
+
+        source = stream_of(spark, lake.table(f"silver/{kind}"))
+        drain(source.writeStream.foreachBatch(write), lake.checkpoint(f"gold-{table}"))
+        out[table] = log.current(spark)
     return out
 
 
@@ -121,20 +185,12 @@ def run(
 ) -> Lakehouse:
     """All stages in order; returns the table version that was written.
 
-    Gold and mart tables are stored so that readers and later stages share them.
+    The mart holds typed columns only and is rewritten from the current gold rows:
+    ages and the newest updates change with every run.
     """
     lake = Lakehouse.new_version(base) if lake is None or full_refresh else lake
     ingest(spark, source, lake)
-
-    def stored(stage: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        saved = {}
-        for name, df in tables.items():
-            path = lake.table(f"{stage}/{name}")
-            df.write.mode("overwrite").parquet(path)
-            saved[name] = spark.read.parquet(path)
-        return saved
-
-    silver_saved = stored("silver", silver(spark, lake))
-    gold_saved = stored("gold", gold_tables(silver_saved, batch_time))
-    stored("mart", mart_tables(gold_saved, as_of))
+    kinds = silver(spark, lake)
+    for name, df in mart_tables(gold_stage(spark, lake, kinds, batch_time), as_of).items():
+        df.write.mode("overwrite").parquet(lake.table(f"mart/{name}"))
     return lake

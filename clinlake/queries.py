@@ -1221,7 +1221,8 @@ def csv_rule_counts(spark, sf):
 def land_records(spark, sf):
     events = read_table(spark, sf, "events").select(
         "event_id", "props", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"),
-        F.create_map(F.lit("X-Forwarded-Access-Token"), F.lit("secret"), F.lit("Host"), F.col("event_type")).alias("headers"),
+        F.create_map(F.lit("X-Forwarded-Access-Token"), F.lit("secret"), F.lit("X-Forwarded-Host"), F.col("event_type"),
+                     F.lit("x-request-id"), F.col("event_id").cast("string")).alias("headers"),
     )
     out = records.land_records(
         events, "props", F.col("event_type"), F.col("micros"), "headers", F.col("event_id").cast("string")

@@ -7,8 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: request header that must never be stored.
-TOKEN_HEADER = "x-forwarded-access-token"
+# Request headers kept with a record. The access token is not among them.
+DETAIL_HEADERS = (
+    "x-forwarded-host",
+    "x-forwarded-preferred-username",
+    "x-forwarded-user",
+    "x-forwarded-email",
+    "x-real-ip",
+    "x-request-id",
+)
 
 
 def land_records(
@@ -21,13 +28,15 @@ def land_records(
 ) -> DataFrame:
     """Envelope of a pushed record: id, VARIANT payload, source, event time, request detail.
 
-    ``headers`` is a map column; the access token is removed before it is stored.
+    ``headers`` is a map column of request headers, names in any case. Only the
+    listed ones are stored, absent ones as null; the access token never is.
     """
     identity = record_id if record_id is not None else F.uuid()
     detail = F.lit(None).cast("variant")
     if headers:
-        kept = F.map_filter(F.col(headers), lambda k, _: F.lower(k) != TOKEN_HEADER)
-        detail = F.parse_json(F.to_json(kept))
+        lowered = F.transform_keys(F.col(headers), lambda k, _: F.lower(k))
+        kept = F.struct(*[F.try_element_at(lowered, F.lit(h)).alias(h.replace("-", "_")) for h in DETAIL_HEADERS])
+        detail = F.parse_json(F.to_json(kept, {"ignoreNullFields": "false"}))
     return df.select(
         identity.alias("bundle_uuid"),
         F.try_parse_json(F.col(payload)).alias("fhir"),

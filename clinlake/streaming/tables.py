@@ -108,6 +108,12 @@ def export_ndjson(table: DataFrame, path: str, doc: str = "resource") -> None:
     table.where(F.col(doc).isNotNull()).select(F.to_json(doc).alias("value")).write.mode("overwrite").text(path)
 
 
+def latest_batch(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the newest complete batch below ``path``."""
+    rows = spark.read.parquet(path)
+    return rows.where(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).drop("batch_id")
+
+
 def schema_stream(fields: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Keep the merged schema per (type, field) of a field stream up to date.
 
