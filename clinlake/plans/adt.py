@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.functions.keys import generated_key, seeded_draw
-from clinlake.operators.current import merge_upsert
+from clinlake.operators.current import merge_upsert, scd1
+from clinlake.operators.links import left_lookup
 
 # Code lists of the messages.
 RACES = [("2106-3", 60), ("2054-5", 20), ("2028-9", 10), ("2076-8", 5), ("1002-5", 5)]
@@ -307,7 +308,8 @@ def admit_times(events: DataFrame, keys: Sequence[str] = ("patient_id",)) -> Dat
     firsts = events.groupBy(*keys).agg(
         F.min_by(F.struct(value.alias("v")), F.struct("event_order", "event_datetime", "event_type")).alias("_f")
     )
-    return events.join(firsts, list(keys), "left").withColumn("admit_datetime", F.col("_f.v")).drop("_f")
+    linked = left_lookup(events, firsts, [(k, k) for k in keys])
+    return linked.withColumn("admit_datetime", F.col("_f.v")).drop("_f")
 
 
 def segment(name: str, fields: Mapping[int, Column | str], length: int) -> Column:
@@ -493,8 +495,6 @@ def message_table(rows: DataFrame, batch_id: str, created_at: Column | None = No
     Two events of one batch that share a key (same patient, visit, code and time)
     are reduced to the later one before the merge.
     """
-    from clinlake.operators.current import scd1
-
     staged = rows.select(
         generated_key(*MESSAGE_KEY).alias("message_pk"),
         *MESSAGE_KEY,

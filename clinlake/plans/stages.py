@@ -68,23 +68,22 @@ def stream_of(spark: SparkSession, path: str) -> DataFrame:
 def silver(spark: SparkSession, lake: Lakehouse) -> list[str]:
     """New resource versions to silver versions, one table per discovered type.
 
-    A narrow step: each type reads its own partition of the batch and appends.
+    One narrow append stream per type. The type filter is part of each stream's
+    plan, so it prunes to the type's own files; filtering inside a shared
+    ``foreachBatch`` would read every file once per type.
     Returns the discovered types.
     """
     plans, with_ids = plans_of(latest_batch(spark, lake.table("schemas")))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        for kind, plan in plans.items():
-            rows = versions(batch.where(F.col("resourceType") == kind), kind, plan, kind in with_ids)
-            rows.write.mode("overwrite").parquet(f"{lake.table('silver/' + kind.lower())}/batch_id={batch_id}")
-
-    drain(stream_of(spark, lake.table("resources")).writeStream.foreachBatch(write), lake.checkpoint("silver"))
+    for kind, plan in plans.items():
+        typed = stream_of(spark, lake.table("resources")).where(F.col("resourceType") == kind)
+        rows = versions(typed, kind, plan, kind in with_ids)
+        append_stream(rows, lake.table(f"silver/{kind.lower()}"), lake.checkpoint(f"silver-{kind.lower()}"))
     return sorted(plans)
 
 
 def silver_table(spark: SparkSession, lake: Lakehouse, resource_type: str) -> DataFrame:
     """Current silver rows of one type."""
-    return newest(spark.read.parquet(lake.table(f"silver/{resource_type.lower()}")).drop("batch_id"), resource_type)
+    return newest(spark.read.parquet(lake.table(f"silver/{resource_type.lower()}")), resource_type)
 
 
 def gold_builders(
@@ -98,7 +97,7 @@ def gold_builders(
     present = {k.lower() for k in kinds}
 
     def stored(kind: str) -> DataFrame:
-        return spark.read.parquet(lake.table(f"silver/{kind}")).drop("batch_id")
+        return spark.read.parquet(lake.table(f"silver/{kind}"))
 
     out: dict[str, tuple[str, tuple[str, ...], Callable[[DataFrame], DataFrame]]] = {}
     entities = {
@@ -140,7 +139,7 @@ def gold_stage(
         log = lake.gold(table, keys)
 
         def write(batch: DataFrame, batch_id: int, log=log, resolver=resolver) -> None:
-            rows = resolver(batch.drop("batch_id"))
+            rows = resolver(batch)
             for key in log.keys:
                 rows = rows.where(F.col(key).isNotNull())
             log.write_batch(rows, batch_id)
