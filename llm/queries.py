@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from llm import substring_dedup, suffix_dedup
+from llm import byte_bpe, ngram_join, quality_rules, source_mixing, substring_dedup, suffix_dedup
 
 QUERIES = {
+    "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
+    "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_source_mixing": source_mixing.op8_source_mixing,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
 }
 
