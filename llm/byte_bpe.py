@@ -30,13 +30,25 @@ from pyspark.sql import functions as F
 from llm.storage import packed, read, unpacked
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-CACHE = 300_000  # pieces
+CACHE = 1_000_000  # pieces
 BUFFER = 400_000  # bytes of pre-tokens merged at a time
 BATCH = 256  # documents
 LEVEL = 6
 WORD = (1 << LEVEL) - 1
 
 
+def split_at_spaces(text: str) -> list[str]:
+    """The text cut before every space that a non-space follows."""
+    first, *rest = text.split(" ")
+    out = [first] if first else []
+    for part in rest:
+        if out and (not part or part[0].isspace()):
+            out[-1] += " " + part
+        else:
+            out.append(" " + part)
+    return out
+
+
 class RankQueue:
     """Positions by rank. Level 0 has a bit for each rank with a bucket, each level above one for each word below."""
 
@@ -198,23 +210,12 @@ class ByteBpe:
             if piece not in known:
                 known[piece] = tuple(i for t in tokens for i in known[t])
 
-    def pieces(self, text: str) -> list[str]:
-        """The text cut before every space that a non-space follows."""
-        first, *rest = text.split(" ")
-        out = [first] if first else []
-        for part in rest:
-            if out and (not part or part[0].isspace()):
-                out[-1] += " " + part
-            else:
-                out.append(" " + part)
-        return out
-
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text."""
         known = self.known
         if len(known) > self.cache:
             known.clear()
-        parts = [self.pieces(t) if t else [] for t in texts]
+        parts = [split_at_spaces(t) if t else [] for t in texts]
         new = {p for each in parts for p in each if p not in known}
         if new:
             self.learn(new)

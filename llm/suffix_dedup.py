@@ -34,7 +34,7 @@ def byte_spec(window: int = WINDOW, gram: int | None = None, **more) -> repeats.
     return repeats.Spec("bytes", window, gram or max(1, window // 2), **more)
 
 
-def _cut(window: int, row_type):
+def _cut(window: int, as_text: bool):
     import pyarrow as pa
 
     def run(table: Iterator) -> Iterator:
@@ -48,20 +48,25 @@ def _cut(window: int, row_type):
                 start, end = repeats.merged(low, high, window)
                 rest = np.append(start, len(body))
                 begin = np.append(0, end)
-                kept.append(b"".join(body[x:y] for x, y in zip(begin, rest)))
+                left = b"".join(body[x:y] for x, y in zip(begin, rest))
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 removed.append([{"start": int(x), "end": int(y)} for x, y in zip(start, end)])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.binary()), pa.array(removed, kind)], ["row", "kept", "removed"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(removed, kind)], ["row", "kept", "removed"])
 
     return run
 
 
-def suffix_dedup(docs: DataFrame, window: int = WINDOW, spec: repeats.Spec | None = None) -> DataFrame:
-    """``docs`` (any columns, ``text`` among them) with ``kept`` (remaining bytes) and ``removed`` (maximal byte ranges)."""
+def suffix_dedup(docs: DataFrame, window: int = WINDOW, spec: repeats.Spec | None = None, as_text: bool = False) -> DataFrame:
+    """``docs`` (any columns, ``text`` among them) with ``kept`` and ``removed`` (maximal byte ranges).
+
+    ``kept`` holds the remaining bytes, or, as text, those of them that are whole characters.
+    """
     spec = spec or byte_spec(window)
     found = repeats.with_runs(docs, spec, repeats.starts_by_interleave)
     row_type = found.schema["row"].dataType.simpleString()
-    out = found.mapInArrow(_cut(spec.window, row_type), f"row {row_type}, kept binary, removed {RUNS}")
+    kind = "string" if as_text else "binary"
+    out = found.mapInArrow(_cut(spec.window, as_text), f"row {row_type}, kept {kind}, removed {RUNS}")
     return unpacked(out, docs.columns, kept=F.col("kept"), removed=F.col("removed"))
 
 
@@ -79,8 +84,8 @@ def op5_suffix_dedup(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated bytes leave the texts; characters that a cut leaves in part go too."""
-    out = suffix_dedup(docs)
-    text = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.decode(F.col("kept"), "UTF-8"))
+    out = suffix_dedup(docs, as_text=True)
+    text = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.col("kept"))
     return out.withColumn("text", text).select(*docs.columns)
 
 
