@@ -186,27 +186,52 @@ def _ranges(join: Join):
 
 
 def _cross(join: Join):
-    """Pairs of one block job whose components differ and that sizes and sketches don't rule out."""
-    import pandas as pd
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        sketch = np.array(rows["tokens"].tolist(), dtype=np.int64).view(np.uint64)
-        sig, root, n = rows["sig"].to_numpy(), rows["root"].to_numpy(), rows["n"].to_numpy()
-        low, high = int(rows["low"].iloc[0]), int(rows["high"].iloc[0])
-        block = rows["block"].to_numpy()
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        out = []
-        for x in left:
-            other = right[(root[right] != root[x]) & (sig[right] != sig[x])]
-            if low == high:
-                other = other[sig[other] > sig[x]]
-            small, large = np.minimum(n[other], n[x]), np.maximum(n[other], n[x])
-            other = other[small * join.over >= large * join.share]
-            apart = np.bitwise_count(sketch[other] ^ sketch[x]).sum(axis=1)
-            other = other[apart <= join.differ(n[other], n[x])]
-            out.append(np.stack([np.minimum(sig[other], sig[x]), np.maximum(sig[other], sig[x])], axis=1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+    """Pairs of the block jobs whose components differ and that sizes and sketches don't rule out.
+
+    Rows come sorted by job. Neighbours at distance 1, 2, ... of the same job are compared, all
+    jobs of a batch at once, until no job has two rows that far apart.
+    """
+    import pyarrow as pa
+
+    def pairs(rows) -> Iterator:
+        sig, root, n, block = (rows[c].to_numpy() for c in ("sig", "root", "n", "block"))
+        job = seq.mix(rows["key"].to_numpy().view(np.uint64)) ^ (rows["low"].to_numpy().astype(np.uint64) << np.uint64(32)) ^ rows["high"].to_numpy().astype(np.uint64)
+        apart = (rows["low"].to_numpy() != rows["high"].to_numpy())
+        sketch = rows["tokens"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_BITS // 64)
+        i, shift = np.arange(len(sig)), 0
+        while True:
+            shift += 1
+            i = i[i + shift < len(sig)]
+            i = i[job[i + shift] == job[i]]
+            if not len(i):
+                return
+            j = i + shift
+            use = (root[i] != root[j]) & (sig[i] != sig[j]) & (~apart[i] | (block[i] != block[j]))
+            use &= np.minimum(n[i], n[j]) * join.over >= np.maximum(n[i], n[j]) * join.share
+            x, y = i[use], j[use]
+            near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1) <= join.differ(n[x], n[y])
+            x, y = sig[x[near]], sig[y[near]]
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    def run(table: Iterator) -> Iterator:
+        held, count = [], 0
+        for batch in table:
+            if batch.num_rows:
+                held.append(batch)
+                count += batch.num_rows
+            if count < 4 * BLOCK:
+                continue
+            whole = pa.Table.from_batches(held).combine_chunks()
+            key = whole["key"].to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            low, high = whole["low"].to_numpy(), whole["high"].to_numpy()
+            while cut < len(key) and (low[cut], high[cut]) != (low[-1], high[-1]):
+                cut += 1  # the last job of the batch may go on in the next
+            yield from pairs(whole.slice(0, cut))
+            held, count = whole.slice(cut).to_batches(), len(key) - cut
+        if held:
+            yield from pairs(pa.Table.from_batches(held).combine_chunks())
 
     return run
 
@@ -259,7 +284,8 @@ def ngram_links(docs: DataFrame, join: Join = Join(), id_column: str = "doc_id")
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     rest = rest.select("key", "low", "high", "block", "sig", "root", "n", "tokens")
-    pairs = rest.groupBy("key", "low", "high").applyInPandas(_cross(join), "a long, b long").distinct()
+    jobs = rest.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    pairs = jobs.mapInArrow(_cross(join), "a long, b long").distinct()
     pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = stored(_verified(stored(pairs, "pairs"), tokens, join), "more")
     joined = first.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
