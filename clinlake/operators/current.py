@@ -9,6 +9,7 @@ slice boundaries, see ``with_previous``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,13 +58,21 @@ def scd1(
     return latest_per_key(df, keys, order).drop(*except_cols)
 
 
+SLICE_ROWS = 4_000_000
+
+
+def slice_count(df: DataFrame) -> int:
+    """Time slices for ``with_previous``: even if one key holds all rows, a slice stays near SLICE_ROWS."""
+    return max(16, math.ceil(df.count() / SLICE_ROWS))
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     cols: Sequence[str],
     prefix: str = "prev_",
-    slices: int = 64,
+    slices: int | None = None,
     following: bool = False,
 ) -> DataFrame:
     """``lag`` (or ``lead``) of ``cols`` by ``order`` within ``keys``, safe for hot keys.
@@ -72,17 +81,19 @@ def with_previous(
     runs per (key, slice). The last (first) row of each slice is copied as a border
     row into the key's next (previous) non-empty slice, where the window picks it up.
     Border rows are one pre-aggregated row per (key, slice), so a key has at most
-    ``slices`` of them, its rows spread over as many tasks, and the input is
-    shuffled once.
+    ``slices`` of them, and its rows spread over as many tasks. The input is
+    shuffled for the borders (pre-aggregated) and for the window.
+    Without ``slices``, their number follows the row count (one counting pass).
     ``order`` must be unique within a key. Adds ``{prefix}exists`` and the columns.
     """
+    slices = slice_count(df) if slices is None else slices
     share = [i / slices for i in range(1, slices)]
     position = F.col(order)
     if isinstance(df.schema[order].dataType, T.TimestampType):
         position = F.unix_micros(position)
     elif isinstance(df.schema[order].dataType, T.DateType):
         position = F.unix_date(position)
-    cuts = df.select(position.alias("_p")).agg(F.percentile_approx("_p", share)).scalar()
+    cuts = df.select(position.alias("_p")).agg(F.percentile_approx("_p", share, max(10_000, 10 * slices))).scalar()
     sliced = (
         df.withColumn("_p", position)
         .withColumn("_cuts", cuts)
@@ -117,13 +128,15 @@ def scd2(
     keys: Sequence[str],
     sequence_by: str,
     track: Sequence[str],
-    slices: int = 64,
+    slices: int | None = None,
 ) -> DataFrame:
     """History rows that open only when a tracked column changes.
 
     Works on the whole ordered input, so late rows land where they belong.
     Adds ``valid_from``, ``valid_to`` (NULL = current) and ``surrogate_key``.
     """
+    df = latest_per_key(df, [*keys, sequence_by], [row_hash(df).desc()])  # equal sequences: one row, by hash
+    slices = slice_count(df) if slices is None else slices
     seen = with_previous(df, keys, sequence_by, list(track), slices=slices)
     changed = F.lit(False)
     for c in track:
@@ -146,7 +159,7 @@ def change_feed(
     from_version=None,
     commit_time: str | None = None,
     processed_at: Column | None = None,
-    slices: int = 64,
+    slices: int | None = None,
 ) -> DataFrame:
     """insert / update_preimage / update_postimage / delete rows of a keyed log.
 
@@ -196,10 +209,11 @@ def merge_upsert(
 ) -> DataFrame:
     """Matched rows take ``update_cols`` from ``stage``, the rest is inserted.
 
-    With no base this is the first load. Written as union and newest-row
-    selection plus one narrow join would read the base twice; a full outer join
-    on the key reads each side once and Spark splits skewed partitions.
+    With no base this is the first load. A full outer join on the key reads each
+    side once. Keys are unique on both sides (staged duplicates are reduced to
+    one row, by hash), so no partition can be skewed by a key.
     """
+    stage = latest_per_key(stage, on, [row_hash(stage).desc()])
     if base is None:
         return stage
     left = base.select(*[F.col(c).alias(f"_b_{c}") for c in base.columns])

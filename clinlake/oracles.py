@@ -1166,11 +1166,19 @@ def build() -> dict[str, str]:
         "upsert_stream": f"SELECT event_id, {shown_ts('ts')}, user_id, event_type, value FROM ({LAST_EVENT})",
         "read_snapshot": f"SELECT user_id, event_id FROM ({LAST_EVENT})",
         "read_stream_of_table": f"SELECT user_id, event_id, {shown_ts('ts')} FROM ({LAST_EVENT})",
-        "log_changes": f"""WITH b AS (SELECT DISTINCT user_id, {DROP_OF_DAY} AS v FROM events),
+        "log_changes": f"""WITH b AS (SELECT user_id, v FROM (
+              SELECT user_id, v, t, max(t) OVER (PARTITION BY user_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+              FROM (SELECT user_id, {DROP_OF_DAY} AS v, max(ts) AS t FROM events GROUP BY 1, 2)) WHERE before IS NULL OR t >= before),
             s AS (SELECT v, lag(v) OVER (PARTITION BY user_id ORDER BY v) AS p FROM b),
             c AS (SELECT v, CASE WHEN p IS NULL THEN 'insert' ELSE 'update_postimage' END AS t FROM s
               UNION ALL SELECT v, 'update_preimage' FROM s WHERE p IS NOT NULL)
             SELECT CAST(v AS BIGINT) AS version, t AS _change_type, count(*) AS n FROM c GROUP BY 1, 2""",
+        "log_change_stream": f"""WITH b AS (SELECT user_id, v, t, e FROM (
+              SELECT user_id, v, t, e, max(t) OVER (PARTITION BY user_id ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+              FROM (SELECT user_id, {DROP_OF_DAY} AS v, max(ts) AS t, arg_max(event_id, ts) AS e FROM events GROUP BY 1, 2)) WHERE before IS NULL OR t >= before),
+            s AS (SELECT *, lag(e) OVER (PARTITION BY user_id ORDER BY v) AS p FROM b)
+            SELECT user_id, CAST(v AS BIGINT) AS version, CASE WHEN p IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change_type, e AS event_id FROM s
+            UNION ALL SELECT user_id, v, 'update_preimage', p FROM s WHERE p IS NOT NULL""",
         "stage_run": f"SELECT age_band, gender, count(*) AS n FROM ({all_patients}) GROUP BY 1, 2",
     }
     return out

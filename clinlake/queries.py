@@ -1515,7 +1515,7 @@ def layout(spark, sf):
     return rows.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.max("l_partkey").alias("max_part"))
 
 
-def daily_log(spark, sf) -> streams.KeyedLog:
+def daily_log(spark, sf, after_drop=lambda log: None) -> streams.KeyedLog:
     """Events streamed into a keyed log in three drops, the middle days last."""
     source, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "checkpoint")
     log = streams.KeyedLog(scratch_path(spark, "log"), ("user_id",), "ts")
@@ -1526,6 +1526,7 @@ def daily_log(spark, sf) -> streams.KeyedLog:
         events.where(cond).write.mode("append").parquet(source)
         stream = spark.readStream.schema(events.schema).parquet(source)
         log.upsert_stream(stream, checkpoint)
+        after_drop(log)
     return log
 
 
@@ -1560,6 +1561,15 @@ def log_changes(spark, sf):
     )
 
 
+@query
+def log_change_stream(spark, sf):
+    """The same as a stream: change rows are appended after each drop, late losers report nothing."""
+    out, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
+    daily_log(spark, sf, lambda log: log.change_stream(spark, out, checkpoint))
+    rows = spark.read.parquet(out)
+    return rows.select("user_id", F.col("_commit_version").cast("long").alias("version"), "_change_type", "event_id")
+
+
 @query
 def schema_stream(spark, sf):
     """Streaming schema inference over stored resources."""

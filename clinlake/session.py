@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,10 +30,12 @@ def local_session(app: str = "clinlake", cores: int | str = 8, memory: str = "12
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder of the session.
 
-    Every executor must be able to read it, so a machine-local folder is used
-    only where the session names none (local test runs).
+    Every executor must be able to read it. Where the session names none, a
+    machine-local folder serves a local master; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="clinlake-")
     return os.path.join(root, "clinlake", f"{name}-{uuid.uuid4().hex}")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -75,10 +75,37 @@ class KeyedLog:
 
     def changes(self, spark: SparkSession, from_version: int | None = None) -> DataFrame:
         """Change rows by batch: each batch is one version of the table."""
-        log = self.versions(spark)
+        return self._changes_of(self.versions(spark), from_version)
+
+    def _changes_of(self, log: DataFrame, from_version: int | None) -> DataFrame:
+        """Only rows that became the current one count; a late row that loses changes nothing.
+
+        A key has one row per batch here, so the running maximum holds few rows of a key.
+        """
         if not self.collapse:
             log = scd1(log, [*self.keys, "batch_id"], self.sequence_by)
-        return change_feed(log, self.keys, "batch_id", self.deleted, from_version)
+        earlier = Window.partitionBy(*self.keys).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = log.withColumn("_before", F.max(self.sequence_by).over(earlier))
+        won = F.coalesce(F.col(self.sequence_by) >= F.col("_before"), F.col("_before").isNull())
+        return change_feed(ranked.where(won).drop("_before"), self.keys, "batch_id", self.deleted, from_version)
+
+    def change_stream(self, spark: SparkSession, path: str, checkpoint: str) -> StreamingQuery:
+        """Append the change rows of new batches to ``path``; drains what is new, then stops.
+
+        Each micro-batch reads the history of the keys it touches and reports its own versions.
+        """
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            bounds = batch.agg(F.min("batch_id").alias("low"), F.max("batch_id").alias("high")).first()
+            if bounds.low is None:
+                return
+            known = self.versions(batch.sparkSession).where(F.col("batch_id") <= bounds.high)
+            touched = batch.select(*self.keys).distinct()
+            same = [known[k].eqNullSafe(touched[k]) for k in self.keys]
+            rows = self._changes_of(known.join(touched, same, "left_semi"), bounds.low)
+            rows.write.mode("overwrite").parquet(f"{path}/change_batch={batch_id}")
+
+        return drain(self.stream(spark).writeStream.foreachBatch(write), checkpoint)
 
     def stream(self, spark: SparkSession) -> DataFrame:
         """New versions as a stream, updates included, for downstream tables."""
