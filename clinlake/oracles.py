@@ -1154,9 +1154,10 @@ def build() -> dict[str, str]:
     all_patients = f"SELECT * FROM {keyed}"
     out |= {
         "read_bundles": """SELECT 'urn:uuid:patient-' || c_custkey AS "fullUrl", 'Patient' AS "resourceType", c_name AS family FROM customer""",
-        "file_inventory": "SELECT count(*) AS file_count, true AS sized FROM customer",
+        "file_inventory": "SELECT count(*) AS file_count, true AS bytes_agree, true AS summary_agrees FROM customer",
         "track_files": "SELECT 'MOVED' AS message, true AS file_moved, count(*) AS n FROM customer",
-        "purge_old_files": "SELECT 'old' AS part, count(*) AS n FROM customer UNION ALL SELECT 'new', 0",
+        "purge_old_files": """SELECT 'dry' AS part, count(*) AS n, 0 AS deleted, count(*) AS left_over FROM customer
+            UNION ALL SELECT 'young', 0, 0, count(*) FROM customer UNION ALL SELECT 'old', count(*), count(*), 0 FROM customer""",
         "clean_source": "SELECT true AS deleted, count(*) AS n FROM customer",
         "land_by_type": """SELECT 'MOVED' AS message, count(*) AS n FROM customer UNION ALL SELECT 'SKIPPED (exists)', count(*) FROM customer
             UNION ALL SELECT 'lines', count(*) FROM customer""",

@@ -1418,8 +1418,13 @@ def read_bundles(spark, sf):
 def file_inventory(spark, sf):
     path = write_bundle_files(spark, sf)
     listing = files.file_inventory(spark, path, "*.json")
-    summary = files.inventory_summary(listing)
-    return summary.select("file_count", (F.col("total_gb") >= 0).alias("sized"))
+    texts = spark.read.option("wholetext", True).text(path, recursiveFileLookup=True)
+    read = texts.agg(F.sum(F.octet_length("value")).alias("bytes_read"))
+    sizes = listing.agg(F.count("*").alias("file_count"), F.sum("length").alias("bytes_listed"))
+    summary = files.inventory_summary(listing).select(F.col("file_count").alias("summed"), "total_gb")
+    gigabytes = F.round(F.col("bytes_listed") / 1024**3, 6)
+    same = (summary.select("summed").scalar() == F.col("file_count")) & (summary.select("total_gb").scalar() == gigabytes)
+    return sizes.select("file_count", (read.scalar() == F.col("bytes_listed")).alias("bytes_agree"), same.alias("summary_agrees"))
 
 
 @query
@@ -1434,15 +1439,19 @@ def track_files(spark, sf):
 
 @query
 def purge_old_files(spark, sf):
-    """Dry run over files that are all younger than the cut."""
+    """A dry run, a purge of files that are too young, and a real one; counted by what is left each time."""
     import datetime as dt
 
-    path = write_bundle_files(spark, sf)
-    old = files.purge_old_files(spark, path, 30, dt.datetime.now() + dt.timedelta(days=60))
-    new = files.purge_old_files(spark, path, 30, dt.datetime.now())
-    return old.agg(F.count("*").alias("n")).select(F.lit("old").alias("part"), "n").unionByName(
-        new.agg(F.count("*").alias("n")).select(F.lit("new").alias("part"), "n")
-    )
+    path, later = write_bundle_files(spark, sf), dt.datetime.now() + dt.timedelta(days=60)
+    runs = [("dry", later, True), ("young", dt.datetime.now(), False), ("old", later, False)]
+    out = []
+    for part, now, dry in runs:
+        report = scratch_path(spark, f"purge-{part}")
+        files.purge_old_files(spark, path, 30, now, dry).write.parquet(report)
+        left = F.lit(files.count_files(spark, path)).cast("long")
+        done = spark.read.parquet(report).agg(F.count("*").alias("n"), F.count_if("deleted").alias("deleted"))
+        out.append(done.select(F.lit(part).alias("part"), "n", "deleted", left.alias("left_over")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query

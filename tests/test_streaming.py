@@ -111,3 +111,94 @@ def test_plain_batch_sink_and_layout(spark, tmp_path):
     laid = spark.read.parquet(str(tmp_path / "laid"))
     hot = laid.where("k = 1").select(F.col("_metadata.file_name")).distinct().count()
     assert laid.count() == 100 and hot > 1
+
+
+NAMES = ["a b.json", "a#b.json", "a%20b.json", "a?b.json", "ü.json", "a.json", "sub/a.json"]
+
+
+def put_names(folder):
+    for name in NAMES:
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(name)
+
+
+def test_names_are_taken_letter_by_letter(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    put_names(source)
+    rows = files.track_files(spark, str(source), str(target), streaming=False).collect()
+    assert {r.message for r in rows} == {"MOVED"} and len(rows) == len(NAMES)
+    assert all((target / name).read_text() == name for name in NAMES)
+    assert sum(p.is_file() for p in target.rglob("*")) == len(NAMES)
+
+
+def test_edited_files_land_again(spark, tmp_path):
+    import os
+
+    source, target = tmp_path / "in", tmp_path / "out"
+    put_names(source)
+    files.track_files(spark, str(source), str(target), streaming=False).collect()
+    (source / "a.json").write_text("longer than before")
+    (source / "ü.json").write_text("Ü.json")
+    os.utime(source / "ü.json", (4_000_000_000, 4_000_000_000))
+    again = {r.source_path.rsplit("/in/", 1)[1]: r.message for r in files.track_files(spark, str(source), str(target), streaming=False).collect()}
+    assert {n for n, m in again.items() if m == "MOVED"} == {"a.json", "ü.json"}
+    assert (target / "a.json").read_text() == "longer than before" and (target / "sub/a.json").read_text() == "sub/a.json"
+
+
+def test_source_stays_until_its_copy_is_whole(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    put_names(source)
+    tracker = files.track_files(spark, str(source), str(target), streaming=False)
+    tracker.write.parquet(str(tmp_path / "tracker"))
+    tracker = spark.read.parquet(str(tmp_path / "tracker"))
+    (source / "a.json").write_text("edited since")
+    (target / "a b.json").unlink()
+    (target / "a#b.json").write_text("cut")
+    later = dt.datetime.now() + dt.timedelta(days=40)
+    files.clean_source(spark, str(source), tracker, later, dry_run=False).collect()
+    assert sorted(str(p.relative_to(source)) for p in source.rglob("*") if p.is_file()) == ["a b.json", "a#b.json", "a.json"]
+
+
+def test_purge_deletes_the_named_file(spark, tmp_path):
+    import os
+
+    put_names(tmp_path)
+    os.utime(tmp_path / "a#b.json", (1_000_000, 1_000_000))
+    os.utime(tmp_path / "a?b.json", (1_000_000, 1_000_000))
+    rows = files.purge_old_files(spark, str(tmp_path), 30, dt.datetime.now(), dry_run=False).collect()
+    assert len(rows) == 2 and all(r.deleted for r in rows)
+    assert {n for n in NAMES if not (tmp_path / n).exists()} == {"a#b.json", "a?b.json"}
+
+
+def test_failed_copy_leaves_nothing(spark, tmp_path):
+    (tmp_path / "out" / "a.json").mkdir(parents=True)
+    (tmp_path / "out" / "a.json" / "x").write_text("a folder is in the way")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("1")
+    row = files.track_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), streaming=False).collect()[0]
+    assert not row.file_moved and row.message not in files.LANDED
+    assert not list((tmp_path / "out").glob("*.partial")) and not list((tmp_path / "out").glob("._*"))
+
+
+def test_two_sources_with_one_target(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / "in" / folder / "run1" / "csv").mkdir(parents=True)
+        (tmp_path / "in" / folder / "run1" / "csv" / "patients.csv").write_text(folder)
+    rows = files.land_by_type(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()
+    assert sorted(r.message.split(" ")[0] for r in rows) == ["CONFLICT", "MOVED"]
+    assert (tmp_path / "out" / "patients" / "run1_patients.csv").read_text() == "x"
+
+
+def test_changes_of_late_rows(spark, tmp_path):
+    log = KeyedLog(str(tmp_path / "log"), ("k",), "s")
+    out, checkpoint = str(tmp_path / "changes"), str(tmp_path / "ck")
+    batches = [[("a", 5, "first")], [("a", 2, "late")], [("a", 5, "tie"), ("b", 1, "x")], [("a", 9, "last"), (None, 1, "n")]]
+    for n, rows in enumerate(batches):
+        log.write_batch(spark.createDataFrame(rows, "k string, s int, v string"), n)
+        log.change_stream(spark, out, checkpoint)
+    want = [
+        ("None", 3, "insert", "n"), ("a", 0, "insert", "first"), ("a", 2, "update_postimage", "tie"), ("a", 2, "update_preimage", "first"),
+        ("a", 3, "update_postimage", "last"), ("a", 3, "update_preimage", "tie"), ("b", 2, "insert", "x"),
+    ]
+    for rows in (log.changes(spark), spark.read.parquet(out)):
+        assert sorted((str(r.k), r._commit_version, r._change_type, r.v) for r in rows.collect()) == want
