@@ -1,7 +1,9 @@
 """Stage order of the document tables: ingestion, silver, gold, mart.
 
-Every stage drains what is new and stops: the cost of a run follows the new files,
-not the size of the tables. ``full_refresh`` starts new versions of all tables.
+Every stage drains what is new and stops. Ingestion and silver cost what the new files
+cost; gold looks up new events among all patients; the mart is rewritten whole.
+``full_refresh`` starts new versions of all tables. Rows that a stage doesn't pass on
+are in side tables (``Lakehouse.aside``).
 Silver tables exist only for types whose schema an ingestion has seen.
 """
 
@@ -9,14 +11,16 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.operators.documents import explode_entries, explode_fields, parse_documents
-from clinlake.operators.quality import expect
+from clinlake.functions.paths import try_path
+from clinlake.operators.documents import ENTRY, explode_entries, explode_fields, parse_documents
+from clinlake.operators.quality import Rule, expect
 from clinlake.plans import gold, mart
 from clinlake.plans.gold_specs import GOLD_SPECS
 from clinlake.plans.silver import newest, plans_of, versions
@@ -37,6 +41,12 @@ class Lakehouse:
     def table(self, name: str) -> str:
         return os.path.join(self.root, "tables", name)
 
+    def mart(self, spark: SparkSession, name: str) -> DataFrame:
+        """A mart table as the newest complete run has written it."""
+        runs = spark.read.parquet(os.path.join(self.root, "mart", "versions"))
+        newest = runs.orderBy(F.col("written_at").desc(), "version").first()
+        return spark.read.parquet(os.path.join(self.root, "mart", newest.version, name))
+
     def checkpoint(self, name: str) -> str:
         return os.path.join(self.root, "checkpoints", name)
 
@@ -47,16 +57,36 @@ class Lakehouse:
             self.table("resources"), ("resource_uuid",), "ingest_time", partition_by=("resourceType",), collapse=False
         )
 
+    def aside(self, name: str) -> str:
+        """Side table of rows that a stage doesn't pass on, with the reason."""
+        return os.path.join(self.root, "tables", "aside", name)
+
     def gold(self, table: str, keys: tuple[str, ...]) -> KeyedLog:
         return KeyedLog(self.table(f"gold/{table}"), keys, "resource_last_updated")
 
 
 def ingest(spark: SparkSession, source: str, lake: Lakehouse) -> None:
-    """New bundle files to raw rows, resource versions and merged schemas."""
+    """New bundle files to raw rows, resource versions and merged schemas.
+
+    Files that hold no entries go to ``aside/bundles`` and entries without url or type to
+    ``aside/entries``: every file and every entry is in one place or the other.
+    """
     append_stream(read_bundles(spark, source), lake.table("bundles"), lake.checkpoint("bundles"))
-    raw = stream_of(spark, lake.table("bundles"))
-    resources = explode_entries(parse_documents(raw)).where("resource_uuid IS NOT NULL AND resourceType IS NOT NULL")
-    lake.resources.upsert_stream(resources, lake.checkpoint("resources"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_documents(batch, keep_text=True)
+        entries = try_path("fhir", "$.entry", ENTRY)
+        reason = F.when(F.col("fhir").isNull(), "malformed").when(F.coalesce(F.size(entries), F.lit(0)) == 0, "no entries")
+        empty = parsed.withColumn("reason", reason).where("reason IS NOT NULL").drop("fhir")
+        empty.write.mode("overwrite").parquet(f"{lake.aside('bundles')}/batch_id={batch_id}")
+        resources = explode_entries(parsed)
+        keyed = F.col("resource_uuid").isNotNull() & F.col("resourceType").isNotNull()
+        lake.resources.write_batch(resources.where(keyed), batch_id)
+        why = F.when(F.col("resource_uuid").isNull(), "no url").otherwise("no type")
+        bare = resources.where(~keyed).withColumn("reason", why)
+        bare.write.mode("overwrite").parquet(f"{lake.aside('entries')}/batch_id={batch_id}")
+
+    drain(stream_of(spark, lake.table("bundles")).writeStream.foreachBatch(write), lake.checkpoint("resources"))
     fields = explode_fields(stream_of(spark, lake.table("resources")))
     schema_stream(fields, lake.table("schemas"), lake.checkpoint("schemas"))
 
@@ -124,25 +154,49 @@ def gold_builders(
 
             def resolver(batch: DataFrame, spec=spec) -> DataFrame:
                 patients = stored("patient") if spec.join == "event" else None
-                return expect(gold.resolve(spec, batch, patients, batch_time), spec.rules)[0]
+                return gold.resolve(spec, batch, patients, batch_time)
 
             out[spec.table] = (spec.source, (spec.key,), resolver)
     return out
 
 
+def gold_rules() -> dict[str, Sequence[Rule]]:
+    return {spec.table: spec.rules for spec in map(gold.load_spec, GOLD_SPECS)}
+
+
 def gold_stage(
     spark: SparkSession, lake: Lakehouse, kinds: list[str], batch_time: Column | None = None
 ) -> dict[str, DataFrame]:
-    """New silver versions to gold logs; returns the current rows per gold table."""
-    out = {}
+    """New silver versions to gold logs; returns the current rows per gold table.
+
+    Each batch also leaves, below ``aside``: rows without a key (``{table}_keyless``), patients and
+    practitioners without any identifier (``{table}_bare``), rows that break a
+    drop rule (``{table}_failed``, with the rule names), events whose patient is
+    not known (``{table}_unresolved``; they stay in gold under the UNKNOWN key), and the counts
+    of all rules (``{table}_rules``).
+    """
+    out, rules = {}, gold_rules()
     for table, (kind, keys, resolver) in gold_builders(spark, lake, kinds, batch_time).items():
         log = lake.gold(table, keys)
 
-        def write(batch: DataFrame, batch_id: int, log=log, resolver=resolver) -> None:
-            rows = resolver(batch)
+        def write(batch: DataFrame, batch_id: int, log=log, resolver=resolver, table=table, kind=kind) -> None:
+            rows = resolver(batch).persist(StorageLevel.DISK_ONLY)
+            keyed = F.lit(True)
             for key in log.keys:
-                rows = rows.where(F.col(key).isNotNull())
-            log.write_batch(rows, batch_id)
+                keyed = keyed & F.col(key).isNotNull()
+            side = {f"{table}_keyless": rows.where(~keyed)}
+            valid = rows
+            if table in ("patient_gold", "practitioner_gold"):
+                side[f"{table}_bare"] = newest(batch, kind).where(F.coalesce(F.size("identifiers"), F.lit(0)) <= 0)
+            if rules.get(table):
+                valid, failed, counts = expect(rows, rules[table])
+                side |= {f"{table}_failed": failed, f"{table}_rules": counts}
+            if "patient_natural_key" in rows.columns and "patient_natural_key" not in log.keys:
+                side[f"{table}_unresolved"] = rows.where("patient_natural_key IS NULL")
+            log.write_batch(valid.where(keyed), batch_id)
+            for name, df in side.items():
+                df.write.mode("overwrite").parquet(f"{lake.aside(name)}/batch_id={batch_id}")
+            rows.unpersist()
 
         source = stream_of(spark, lake.table(f"silver/{kind}"))
         drain(source.writeStream.foreachBatch(write), lake.checkpoint(f"gold-{table}"))
@@ -185,11 +239,15 @@ def run(
     """All stages in order; returns the table version that was written.
 
     The mart holds typed columns only and is rewritten from the current gold rows:
-    ages and the newest updates change with every run.
+    ages and the newest updates change with every run. Each run writes a folder of its own, and
+    the table ``mart/versions`` names the complete ones: readers never see half a mart.
     """
     lake = Lakehouse.new_version(base) if lake is None or full_refresh else lake
     ingest(spark, source, lake)
     kinds = silver(spark, lake)
+    version = uuid.uuid4().hex
     for name, df in mart_tables(gold_stage(spark, lake, kinds, batch_time), as_of).items():
-        df.write.mode("overwrite").parquet(lake.table(f"mart/{name}"))
+        df.write.parquet(os.path.join(lake.root, "mart", version, name))
+    stamp = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written_at"))
+    stamp.coalesce(1).write.mode("append").parquet(os.path.join(lake.root, "mart", "versions"))
     return lake

@@ -1595,5 +1595,5 @@ def stage_run(spark, sf):
     source, base = write_bundle_files(spark, sf), scratch_path(spark, "lake")
     lake = stages.run(spark, source, base, batch_time=batch_time(), as_of=as_of())
     lake = stages.run(spark, source, base, lake, batch_time=batch_time(), as_of=as_of())
-    rows = spark.read.parquet(lake.table("mart/dim_patient"))
+    rows = lake.mart(spark, "dim_patient")
     return rows.groupBy("age_band", "gender").agg(F.count("*").alias("n"))

@@ -30,7 +30,7 @@ def test_stage_run_is_incremental_and_idempotent(spark, tmp_path):
     lake = stages.run(spark, str(source), str(tmp_path / "lake"))
 
     def patients():
-        return {r.patient_natural_key: r.family_name for r in spark.read.parquet(lake.table("mart/dim_patient")).collect()}
+        return {r.patient_natural_key: r.family_name for r in lake.mart(spark, "dim_patient").collect()}
 
     assert patients() == {"K1": "FOld"}
     versions = lake.resources.versions(spark).count()
@@ -40,7 +40,7 @@ def test_stage_run_is_incremental_and_idempotent(spark, tmp_path):
     put(source, "c.json", "2", 1, "Two")
     stages.run(spark, str(source), str(tmp_path / "lake"), lake)
     assert patients() == {"K1": "FNew", "K2": "FTwo"}
-    fact = spark.read.parquet(lake.table("mart/fact_encounter"))
+    fact = lake.mart(spark, "fact_encounter")
     assert fact.count() == 2 and {r.length_of_stay_hours for r in fact.collect()} == {2.0}
     fresh = stages.run(spark, str(source), str(tmp_path / "lake"), lake, full_refresh=True)
     assert fresh.root != lake.root and fresh.resources.versions(spark).count() == 6
@@ -202,3 +202,32 @@ def test_changes_of_late_rows(spark, tmp_path):
     ]
     for rows in (log.changes(spark), spark.read.parquet(out)):
         assert sorted((str(r.k), r._commit_version, r._change_type, r.v) for r in rows.collect()) == want
+
+
+def test_nothing_is_dropped_without_a_side_table(spark, tmp_path):
+    """Files in = bundles read + rejected; entries in = resources + entries aside; gold rows likewise."""
+    source = tmp_path / "in"
+    source.mkdir()
+    put(source, "a.json", "1", 1, "A")
+    (source / "broken.json").write_text("no json")
+    (source / "empty.json").write_text('{"resourceType":"Bundle","entry":[]}')
+    (source / "bare.json").write_text(
+        '{"resourceType":"Bundle","entry":[{"resource":{"resourceType":"Patient","id":"9"}},{"fullUrl":"urn:uuid:x","resource":{"id":"8"}},'
+        '{"fullUrl":"urn:uuid:e7","resource":{"resourceType":"Encounter","id":"e7","status":"finished","subject":{"reference":"urn:uuid:nobody"}}},'
+        '{"fullUrl":"urn:uuid:p6","resource":{"resourceType":"Patient","id":"6","identifier":[{"system":"s","type":{"coding":[{"code":"DL"}]}}]}}]}'
+    )
+    lake = stages.run(spark, str(source), str(tmp_path / "lake"))
+    aside = lambda name: spark.read.parquet(lake.aside(name))
+    assert {r.reason: r["count"] for r in aside("bundles").groupBy("reason").count().collect()} == {"malformed": 1, "no entries": 1}
+    assert aside("bundles").where("value = 'no json'").count() == 1
+    assert {r.reason for r in aside("entries").collect()} == {"no url", "no type"}
+    assert spark.read.parquet(lake.table("bundles")).count() == 4
+    assert lake.resources.versions(spark).count() + aside("entries").count() == 2 + 4
+    assert aside("encounter_gold_unresolved").count() == 1
+    patients = spark.read.parquet(lake.table("silver/patient")).count()
+    known = lake.gold("patient_gold", ("patient_natural_key",)).versions(spark).count()
+    assert patients == 2 and known + aside("patient_gold_keyless").count() + aside("patient_gold_bare").count() == patients
+    encounters = spark.read.parquet(lake.table("silver/encounter")).count()
+    gold = lake.gold("encounter_gold", ("encounter_natural_key",)).versions(spark).count()
+    assert gold + aside("encounter_gold_failed").count() + aside("encounter_gold_keyless").count() == encounters
+    assert aside("encounter_gold_rules").select("rule").distinct().count() == len(stages.gold_rules()["encounter_gold"])
