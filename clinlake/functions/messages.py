@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,52 +25,38 @@ def created_id(status: Column, headers_json: Column) -> Column:
     return F.when(status == 201, F.element_at(F.split(location, "/"), -1))
 
 
-def _coding(system: str, code: str, display: str, text: str | None = None) -> Column:
-    one = F.array(
-        F.struct(F.lit(system).alias("system"), F.lit(code).alias("code"), F.lit(display).alias("display"))
-    ).alias("coding")
-    return F.struct(one, F.lit(text).alias("text")) if text else F.struct(one)
-
-
-def heart_rate_body(patient_id: Column, encounter_id: Column, effective: Column, value: Column) -> Column:
-    """JSON body of a heart-rate vital sign."""
-    return F.to_json(
-        F.struct(
-            F.lit("Observation").alias("resourceType"),
-            F.lit("final").alias("status"),
-            F.array(
-                _coding("http://hl7.org/fhir/observation-category", "vital-signs", "Vital Signs", "Vital Signs")
-            ).alias("category"),
-            _coding("urn:oid:1.2.840.114350.1.13.0.1.7.2.707679", "8", "Heart Rate", "Heart Rate").alias("code"),
-            F.struct(F.concat(F.lit("Patient/"), patient_id).alias("reference")).alias("subject"),
-            F.struct(F.concat(F.lit("Encounter/"), encounter_id).alias("reference")).alias("encounter"),
-            effective.alias("effectiveDateTime"),
-            F.struct(value.alias("value")).alias("valueQuantity"),
-        )
-    )
-
-
-def allergy_body(patient_id: Column, recorder: Column, recorded: Column) -> Column:
-    """JSON body of a penicillin allergy."""
-    base = "http://terminology.hl7.org/CodeSystem/allergyintolerance-"
-    return F.to_json(
-        F.struct(
-            F.lit("AllergyIntolerance").alias("resourceType"),
-            _coding(base + "clinical", "active", "Active", "Active").alias("clinicalStatus"),
-            _coding(base + "verification", "unconfirmed", "Unconfirmed", "Unconfirmed").alias("verificationStatus"),
-            F.lit("allergy").alias("type"),
-            F.array(F.lit("medication")).alias("category"),
-            F.lit("low").alias("criticality"),
-            _coding(
-                "http://www.nlm.nih.gov/research/umls/rxnorm", "7980", "Penicillin G", "Penicillin"
-            ).alias("code"),
-            F.struct(F.concat(F.lit("Patient/"), patient_id).alias("reference")).alias("patient"),
-            F.struct(F.concat(F.lit("Practitioner/"), recorder).alias("reference")).alias("recorder"),
-            recorded.alias("recordedDate"),
-            F.array(
-                F.struct(
-                    F.array(_coding("http://snomed.info/sct", "247472004", "Hives", "Hives")).alias("manifestation")
-                )
-            ).alias("reaction"),
-        )
-    )
+def body_of(shape) -> Column:
+    """A column from nested dicts and lists whose leaves are columns or plain values.
+
+    Dicts become structs, lists arrays; ``None`` leaves a field out of the JSON.
+    """
+    if isinstance(shape, Column):
+        return shape
+    if isinstance(shape, Mapping):
+        return F.struct(*[body_of(v).alias(k) for k, v in shape.items()])
+    if isinstance(shape, (list, tuple)):
+        return F.array(*[body_of(v) for v in shape])
+    return F.lit(shape)
+
+
+def render_json(shape) -> Column:
+    """JSON text of ``body_of(shape)``."""
+    return F.to_json(body_of(shape))
+
+
+PLACEHOLDER = re.compile(r"\{\{\s*([A-Za-z_][A-Za-z0-9_]*)\s*\}\}")
+
+
+def fill_template(template: str, values: Mapping[str, Column]) -> Column:
+    """A JSON text with ``{{name}}`` places filled by columns, each as a JSON value (text quoted and escaped).
+
+    A missing value becomes ``null``; a place without a column is an error.
+    """
+    parts, at = [], 0
+    for found in PLACEHOLDER.finditer(template):
+        if found[1] not in values:
+            raise ValueError(f"the template names {found[1]}, which has no column")
+        listed = F.to_json(F.array(values[found[1]]))
+        parts += [F.lit(template[at : found.start()]), F.substring(listed, F.lit(2), F.length(listed) - 2)]
+        at = found.end()
+    return F.concat(*parts, F.lit(template[at:]))

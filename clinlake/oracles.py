@@ -941,8 +941,15 @@ def build() -> dict[str, str]:
             WHEN value_code IS NOT NULL THEN 'code' ELSE 'no_value' END AS value_kind, count(*) AS n FROM ({gold_rows('observation_gold')}) GROUP BY 1""",
         "json_filter_pick": "SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN 'S' || c_custkey END AS stu3_id FROM customer",
         "header_tail": "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN CAST(o_orderkey AS VARCHAR) END AS created_id FROM orders",
-        "render_json": """SELECT o_orderkey, 'Patient/' || o_custkey AS subject, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS effective,
-            '8' AS code, CAST(75 AS BIGINT) AS value, 'Patient/' || o_custkey AS allergy_patient, '247472004' AS reaction FROM orders""",
+        "render_json": """SELECT o_orderkey,
+            '{"resourceType":"SupplyRequest",' || CASE WHEN o_orderstatus = 'F' THEN '"status":"completed",' ELSE '' END
+            || '"requester":{"reference":"Patient/' || o_custkey || '"},"occurrence":{"start":"' || strftime(o_orderdate, '%Y-%m-%d')
+            || '","end":"' || strftime(o_orderdate, '%Y-%m-%d') || '"},"code":{"coding":[{"system":"urn:example:priority","code":"'
+            || o_orderpriority[1] || '"}]},"quantity":{"value":' || o_orderkey || '}}' AS body,
+            '{"resourceType": "SupplyRequest", "note": [{"text": "' || o_orderpriority || ' \\"as is\\""}], "amount": ' || o_orderkey || ', "by": '
+            || CASE WHEN o_custkey % 2 = 0 THEN '"' || o_custkey || '"' ELSE 'null' END || ', "closed": '
+            || CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END || '}' AS note,
+            'Patient/' || o_custkey AS subject, o_orderpriority[1] AS code, o_orderpriority || ' "as is"' AS text FROM orders""",
         "silver_table": f"""SELECT {uuid('Encounter')} AS encounter_uuid, {bundle('Encounter')} AS bundle_uuid, {url('Encounter')} AS encounter_url,
             {reference_count('Encounter')} AS references_count, CAST(NULL AS BIGINT) AS identifiers_count, CAST(NULL AS BIGINT) AS codes_count,
             'finished' AS status, {value('Encounter', 'period.start')} AS clinical_event_effective_start,

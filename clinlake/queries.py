@@ -515,25 +515,38 @@ def header_tail(spark, sf):
     return rows.select("o_orderkey", messages.created_id(F.col("status"), F.col("headers")).alias("created_id"))
 
 
+SUPPLY_NOTE = '{"resourceType": "SupplyRequest", "note": [{"text": {{priority}}}], "amount": {{total}}, "by": {{clerk}}, "closed": {{closed}}}'
+
+
 @query
 def render_json(spark, sf):
-    """Request bodies rendered, parsed again and read at their paths."""
+    """Request bodies from a shape and from a template; whole texts, and values read back at their paths."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    shape = {
+        "resourceType": "SupplyRequest",
+        "status": F.when(F.col("o_orderstatus") == "F", "completed"),
+        "requester": {"reference": F.concat(F.lit("Patient/"), "o_custkey")},
+        "occurrence": {"start": day, "end": day},
+        "code": {"coding": [{"system": "urn:example:priority", "code": F.substring("o_orderpriority", 1, 1)}]},
+        "quantity": {"value": F.col("o_orderkey")},
+    }
+    note = {
+        "priority": F.concat(F.col("o_orderpriority"), F.lit(' "as is"')),
+        "total": F.col("o_orderkey"),
+        "clerk": F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey").cast("string")),
+        "closed": F.col("o_orderstatus") == "F",
+    }
     rows = read_table(spark, sf, "orders").select(
-        "o_orderkey",
-        messages.heart_rate_body(
-            F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string"),
-            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(75),
-        ).alias("body"),
-        messages.allergy_body(F.col("o_custkey").cast("string"), F.lit("p1"), F.lit("2024-01-15")).alias("allergy"),
-    ).withColumns({"doc": F.parse_json("body"), "al": F.parse_json("allergy")})
+        "o_orderkey", messages.render_json(shape).alias("body"), messages.fill_template(SUPPLY_NOTE, note).alias("note")
+    )
+    rows = rows.withColumns({"doc": F.parse_json("body"), "filled": F.parse_json("note")})
     return rows.select(
         "o_orderkey",
-        paths.path("doc", "$.subject.reference").alias("subject"),
-        paths.path("doc", "$.effectiveDateTime").alias("effective"),
+        "body",
+        "note",
+        paths.path("doc", "$.requester.reference").alias("subject"),
         paths.path("doc", "$.code.coding[0].code").alias("code"),
-        paths.path("doc", "$.valueQuantity.value", "int").cast("long").alias("value"),
-        paths.path("al", "$.patient.reference").alias("allergy_patient"),
-        paths.path("al", "$.reaction[0].manifestation[0].coding[0].code").alias("reaction"),
+        paths.path("filled", "$.note[0].text").alias("text"),
     )
 
 
