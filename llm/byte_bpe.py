@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
@@ -30,17 +32,21 @@ from pyspark.sql import functions as F
 from llm.storage import packed, read, unpacked
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-CACHE = 1_000_000  # pieces
+CACHE = 1_500_000  # pieces
 BUFFER = 400_000  # bytes of pre-tokens merged at a time
 BATCH = 256  # documents
 LEVEL = 6
 WORD = (1 << LEVEL) - 1
+ODD_SPACE = re.compile(r" (?:\s|\Z)")
 
 
 def split_at_spaces(text: str) -> list[str]:
     """The text cut before every space that a non-space follows."""
     first, *rest = text.split(" ")
     out = [first] if first else []
+    if not ODD_SPACE.search(text):
+        out += [" " + part for part in rest]
+        return out
     for part in rest:
         if out and (not part or part[0].isspace()):
             out[-1] += " " + part
@@ -101,7 +107,8 @@ class ByteBpe:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.size = size = max(ranks.values()) + 1
-        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.single = np.array([ranks[bytes([b])] for b in range(256)])
+        self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
         self.pairs: dict[int, int] = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -115,55 +122,63 @@ class ByteBpe:
 
     def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of pre-tokens (none empty), all in one buffer with one queue."""
-        size, get, buckets = self.size, self.pairs.get, None
-        ids, after, before, pair = [], [], [], []
-        single = self.single
-        by_rank: dict[int, list[int]] = {}
-        for piece in pieces:
-            start = len(ids)
-            mine = [single[b] for b in piece]
-            ids += mine
-            stop = len(ids)
-            after += range(start + 1, stop)
-            after.append(-1)
-            before.append(-1)
-            before += range(start, stop - 1)
-            for i in range(start, stop - 1):
-                rank = get(ids[i] * size + ids[i + 1], -1)
-                pair.append(rank)
-                if rank >= 0:
-                    if rank in by_rank:
-                        by_rank[rank].append(i)
-                    else:
-                        by_rank[rank] = [i]
-            pair.append(-1)
-        queue = RankQueue(size)
-        for rank, positions in by_rank.items():
-            queue.open(rank, positions)
-        buckets = queue.buckets
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        stops = np.cumsum([len(p) for p in pieces])
+        pair = np.full(len(data), -1, dtype=np.int64)
+        pair[:-1] = self.byte_pairs[data[:-1], data[1:]]
+        pair[stops - 1] = -1
+        after = np.arange(1, len(data) + 1)
+        after[stops - 1] = -1
+        before = np.arange(-1, len(data) - 1)
+        before[stops[:-1]] = -1
+        queue = RankQueue(self.size)
+        self._fill(queue, pair)
+        ids = self._merge(queue, self.single[data].tolist(), pair.tolist(), after.tolist(), before.tolist())
+        # a part that was merged into the one before it holds no id any more
+        left = np.array(ids)
+        alive = left >= 0
+        flat, ends = left[alive].tolist(), np.cumsum(alive)[stops - 1].tolist()
+        return [tuple(flat[x:y]) for x, y in zip([0, *ends], ends)]
+
+    @staticmethod
+    def _fill(queue: RankQueue, pair: np.ndarray) -> None:
+        """One bucket per rank that some pair has."""
+        at = np.flatnonzero(pair >= 0)
+        at = at[np.argsort(pair[at], kind="stable")]
+        ranks = pair[at]
+        new = np.flatnonzero(np.diff(ranks, prepend=-1)).tolist()
+        positions, named = at.tolist(), ranks[new].tolist()
+        for rank, x, y in zip(named, new, [*new[1:], len(positions)]):
+            queue.open(rank, positions[x:y])
+
+    def _merge(self, queue: RankQueue, ids: list[int], pair: list[int], after: list[int], before: list[int]) -> list[int]:
+        """Merges until the queue is empty; ids of parts merged into others become -1."""
+        size, get, buckets = self.size, self.pairs.get, queue.buckets
         while (found := queue.pop()) is not None:
             rank, positions = found
-            positions.sort()
+            base = rank * size
+            if len(positions) > 1:
+                positions.sort()
             for n, i in enumerate(positions):
                 if pair[i] != rank:
                     continue  # stale: one of its parts has been merged since
                 middle = after[i]
                 right, left = after[middle], before[i]
-                ids[i], after[i], pair[i], pair[middle] = rank, right, -1, -1
+                ids[i], after[i], ids[middle], pair[middle] = rank, right, -1, -1
                 lower = False
                 if right >= 0:
                     before[right] = i
-                    r = get(rank * size + ids[right], -1)
+                    pair[i] = r = get(base + ids[right], -1)
                     if r >= 0:
-                        pair[i] = r
                         lower = r < rank
                         if r in buckets:
                             buckets[r].append(i)
                         else:
                             queue.open(r, [i])
+                else:
+                    pair[i] = -1
                 if left >= 0:
-                    r = get(ids[left] * size + rank, -1)
-                    pair[left] = r
+                    pair[left] = r = get(ids[left] * size + rank, -1)
                     if r >= 0:
                         lower = lower or r < rank
                         if r in buckets:
@@ -176,15 +191,7 @@ class ByteBpe:
                     else:
                         queue.open(rank, positions[n + 1 :])
                     break
-        out, start = [], 0
-        for piece in pieces:
-            i, mine = start, []
-            while i >= 0:
-                mine.append(ids[i])
-                i = after[i]
-            out.append(tuple(mine))
-            start += len(piece)
-        return out
+        return ids
 
     def learn(self, pieces: set[str]) -> None:
         """Enters pieces (that begin and end at borders of pre-tokens) into the table."""
