@@ -5,8 +5,8 @@ pruning part; each round grows a conjunction of thresholds on the growing part b
 information gain, prunes its conditions on the other part, and removes the rows it
 covers. The ordered rules become one conditional Spark expression.
 
-The learner sees at most ``max_labelled`` labelled rows (the least by hash; a documented
-bound). Statistics, rules and verdicts cover every document.
+The learner sees at most ``max_labelled`` labelled rows that pass the base rules (the least by hash; a
+documented bound). Statistics, rules and verdicts cover every document.
 
 Results for special rows: null texts have no words and fail the base rules; labels
 without a document, null labels and repeated labels are ignored or counted once per row; without labels
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm import sequences as seq
-from llm.storage import packed, read, stored, unpacked
+from llm.storage import lowest_share, packed, read, stored, unpacked
 
 #: Fixed values of the contract.
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -261,6 +261,8 @@ def labelled_sample(features: DataFrame, labels: DataFrame, max_labelled: int =
     """At most ``max_labelled`` rows (those of least hash) with statistics and whether their quality is 0."""
     named = features.select(F.col("row.doc_id").alias("doc_id"), *FEATURES, base_failed().alias("failed"))
     known = labels.filter("quality is not null and doc_id is not null").select("doc_id", "quality")
+    # twice the bound by hash, so that sorting and sending stay bounded at any size
+    known = known.filter(lowest_share(F.xxhash64("doc_id"), 2 * max_labelled / max(1, known.count())))
     rows = named.join(known, "doc_id").filter("not failed")
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *FEATURES).limit(max_labelled).collect()
     return {f: np.array([float(r[f]) for r in rows]) for f in FEATURES}, np.array([r["quality"] == 0 for r in rows], dtype=bool)

@@ -46,6 +46,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def lowest_share(hashed, share: float):
+    """Whether a 64-bit hash lies in the lowest ``share`` of its range: a repeatable sample that needs no sorting."""
+    return hashed <= F.lit(min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) for every end of an edge (a, b): root is the least id that can be reached.
 

@@ -32,7 +32,7 @@ from pyspark.sql import Window
 
 from clinlake.session import scratch_path
 from llm.byte_bpe import split_at_spaces
-from llm.storage import read
+from llm.storage import lowest_share, read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
@@ -152,7 +152,10 @@ def _write(path: str, dictionary: bytes, end_id: int):
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> TokenFiles:
     """Writes the ids of all texts, in ascending order of ``doc_id``."""
-    short = docs.filter(F.octet_length("text").between(1, SAMPLE_BYTES)).select("text", F.xxhash64("doc_id", "text").alias("h"))
+    hashed = F.xxhash64("doc_id", "text")
+    # four times the bound by hash, so that sorting and sending stay bounded at any size
+    few = docs.filter(lowest_share(hashed, 4 * SAMPLE / max(1, docs.count())))
+    short = few.filter(F.octet_length("text").between(1, SAMPLE_BYTES)).select("text", hashed.alias("h"))
     rows = short.orderBy("h", "text").limit(SAMPLE).select("text").mapInArrow(_sample(tokenizer), "ids binary").collect()
     files = TokenFiles(path, trained([bytes(r[0]) for r in rows]))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
