@@ -1064,9 +1064,9 @@ def build() -> dict[str, str]:
             f"SELECT '{n}' AS rule, '{actions[n]}' AS action, count(*) FILTER (WHERE NOT ({p})) AS failed, count(*) AS total FROM {genc}"
             for n, p in rules.items()
         ),
-        "gold_rule_counts": f"""SELECT 'coverage_natural_key_present' AS rule, 'drop' AS action, CAST(0 AS BIGINT) AS failed, count(*) AS total FROM orders
-            UNION ALL SELECT 'patient_resolved', 'warn', count(*) FILTER (WHERE ({subject_key()}) IS NULL), count(*) FROM orders
-            UNION ALL SELECT 'status_known', 'warn', 0, count(*) FROM orders""",
+        "gold_rule_counts": f"""SELECT 'coverage_nk_not_null' AS rule, 'drop' AS action, CAST(0 AS BIGINT) AS failed, count(*) AS total FROM orders
+            UNION ALL SELECT 'patient_nk_not_null', 'warn', count(*) FILTER (WHERE ({subject_key()}) IS NULL), count(*) FROM orders
+            UNION ALL SELECT 'valid_status', 'warn', 0, count(*) FROM orders""",
         "quarantine": f"SELECT encounter_natural_key, {failed} AS failed FROM {genc} WHERE NOT ({' AND '.join(f'({p})' for p in rules.values())})",
         "integrity_report": integrity_sql(),
         "profile_age_bands": f"""SELECT age_band, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS pct
@@ -1115,14 +1115,14 @@ def build() -> dict[str, str]:
         "stage_strict_types": f"SELECT patient_id, CAST(healthcare_expenses AS BIGINT) AS healthcare_expenses FROM ({csv_expected('patients', True)})",
         "csv_encounters": f"""SELECT encounter_id, patient_id, encounter_start_date,
             CASE WHEN encounter_id LIKE '%5' THEN 'corrected' END AS description, total_claim_cost FROM ({enc_csv}) WHERE patient_id IS NOT NULL""",
-        "csv_encounters_quarantine": f"SELECT encounter_id, 'patient_id_not_null' AS failed FROM ({enc_csv}) WHERE patient_id IS NULL",
+        "csv_encounters_quarantine": f"SELECT encounter_id, 'encounter_patient_id_null' AS failed FROM ({enc_csv}) WHERE patient_id IS NULL",
         "csv_conditions": f"""SELECT DISTINCT condition_start_date, patient_id, encounter_id, system, condition_code
             FROM ({csv_expected('conditions')}) WHERE patient_id IS NOT NULL""",
-        "csv_rule_counts": f"""SELECT 'total_cost_not_negative' AS rule, 'warn' AS action, count(*) FILTER (WHERE NOT coalesce(total_cost >= 0, false)) AS failed,
+        "csv_rule_counts": f"""SELECT 'medication_total_cost_negative' AS rule, 'warn' AS action, count(*) FILTER (WHERE NOT coalesce(total_cost >= 0, false)) AS failed,
               count(*) AS total FROM ({med})
             UNION ALL SELECT 'total_claim_cost_zero', 'warn', count(*) FILTER (WHERE NOT coalesce(total_claim_cost = 0, false)), count(*) FROM ({enc_csv})
-            UNION ALL SELECT 'patient_id_not_null', 'drop', count(*) FILTER (WHERE patient_id IS NULL), count(*) FROM ({enc_csv})
-            UNION ALL SELECT 'encounter_id_not_null', 'drop', count(*) FILTER (WHERE encounter_id IS NULL), count(*) FROM ({enc_csv})""",
+            UNION ALL SELECT 'encounter_patient_id_null', 'drop', count(*) FILTER (WHERE patient_id IS NULL), count(*) FROM ({enc_csv})
+            UNION ALL SELECT 'encounter_id_null', 'drop', count(*) FILTER (WHERE encounter_id IS NULL), count(*) FROM ({enc_csv})""",
         "land_records": f"""SELECT CAST(event_id AS VARCHAR) AS bundle_uuid, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS source_system,
             strftime(ts, '{STAMP}') AS event_timestamp, '{{"x_forwarded_email":null,"x_forwarded_host":"' || event_type
             || '","x_forwarded_preferred_username":null,"x_forwarded_user":null,"x_real_ip":null,"x_request_id":"' || event_id || '"}}' AS detail FROM events""",

@@ -54,7 +54,7 @@ PATIENTS = _table(
     county STRING, fips_county_code STRING, zip STRING, lat NUMERIC, lon NUMERIC, healthcare_expenses NUMERIC,
     healthcare_coverage NUMERIC, income NUMERIC""",
     "patient_id",
-    (Rule("patient_id_not_null", "patient_id IS NOT NULL", "drop"),),
+    (Rule("patient_id_null", "patient_id IS NOT NULL", "drop"),),
 )
 ENCOUNTERS = _table(
     "encounters",
@@ -65,8 +65,8 @@ ENCOUNTERS = _table(
     "encounter_id",
     (
         Rule("total_claim_cost_zero", "total_claim_cost = 0", "warn"),
-        Rule("patient_id_not_null", "patient_id IS NOT NULL", "drop"),
-        Rule("encounter_id_not_null", "encounter_id IS NOT NULL", "drop"),
+        Rule("encounter_patient_id_null", "patient_id IS NOT NULL", "drop"),
+        Rule("encounter_id_null", "encounter_id IS NOT NULL", "drop"),
     ),
 )
 CONDITIONS = _table(
@@ -75,8 +75,8 @@ CONDITIONS = _table(
     system STRING, condition_code STRING, code_description STRING""",
     "condition_start_date patient_id encounter_id system condition_code",
     (
-        Rule("patient_id_not_null", "patient_id IS NOT NULL", "drop"),
-        Rule("encounter_id_not_null", "encounter_id IS NOT NULL", "drop"),
+        Rule("condition_patient_id_null", "patient_id IS NOT NULL", "drop"),
+        Rule("condition_encounter_id_null", "encounter_id IS NOT NULL", "drop"),
     ),
 )
 MEDICATIONS = _table(
@@ -85,7 +85,7 @@ MEDICATIONS = _table(
     encounter_id STRING, medication_code STRING, medication_code_description STRING, base_cost NUMERIC,
     payer_coverage NUMERIC, dispenses NUMERIC, total_cost NUMERIC, reason_code STRING, reason_description STRING""",
     "medication_start_date patient_id payer_id encounter_id medication_code",
-    (Rule("total_cost_not_negative", "total_cost >= 0", "warn"),),
+    (Rule("medication_total_cost_negative", "total_cost >= 0", "warn"),),
 )
 CLAIMS_TRANSACTIONS = _table(
     "claims_transactions",
@@ -98,8 +98,8 @@ CLAIMS_TRANSACTIONS = _table(
     Fee_Schedule_ID NUMERIC, Provider_ID STRING, Supervising_Provider_ID STRING""",
     "claims_transaction_id",
     (
-        Rule("payments_not_negative", "payments >= 0", "warn"),
-        Rule("claims_transaction_id_not_null", "claims_transaction_id IS NOT NULL", "drop"),
+        Rule("claims_transactions_payments_negative", "payments >= 0", "warn"),
+        Rule("claims_transactions_id_null", "claims_transaction_id IS NOT NULL", "drop"),
     ),
 )
 

@@ -1,5 +1,8 @@
 """Declarations of the gold tables as plain data.
 
+Fixed values throughout: tables, columns, document paths, key parts and rules are those
+of the data model, and must be equal for equal results.
+
 A column value is either a document path (``$.a.b[0].c``, optionally followed by
 ``::TYPE``) or a Spark SQL expression over the silver row. ``{patient}`` stands
 for the natural key of the linked patient.
@@ -33,9 +36,27 @@ def coded(prefix: str, path: str, system: bool = False) -> dict[str, str]:
 CODES = {"code": code("code"), "code_system": code("system"), "code_display": code("display")}
 
 
+# Rule names are keys of the count tables. Short forms of the tables' names, and checks on a column.
+RULE_STEM = {
+    "allergyintolerance": "allergy",
+    "diagnosticreport": "diagreport",
+    "documentreference": "docref",
+    "explanationofbenefit": "eob",
+    "imagingstudy": "imaging",
+    "medication_request": "medrx",
+    "medicationadministration": "medadmin",
+    "practitionerrole": "role",
+    "supplydelivery": "supply",
+}
+ALLOWED_RULE = {"encounter_class": "valid_encounter_class", "claim_type_code": "valid_claim_type", "status": "valid_status"}
+
+
+def key_rule(name: str) -> tuple[str, str, str]:
+    return (f"{RULE_STEM.get(name, name)}_nk_not_null", f"{name}_natural_key IS NOT NULL", "drop")
+
+
 def event(name, source, patient_ref, key, columns, cluster, rules=(), table=None):
     table = table or f"{source}_gold"
-    nk = f"{name}_natural_key"
     return {
         "table": table,
         "name": name,
@@ -46,15 +67,14 @@ def event(name, source, patient_ref, key, columns, cluster, rules=(), table=None
         "columns": {f"{source}_url": f"{source}_url", "patient_natural_key": PATIENT} | columns,
         "cluster_by": cluster,
         "rules": [
-            (f"{nk}_present", f"{nk} IS NOT NULL", "drop"),
-            ("patient_resolved", "patient_natural_key IS NOT NULL", "warn"),
+            key_rule(name),
+            ("patient_nk_not_null", "patient_natural_key IS NOT NULL", "warn"),
             *rules,
         ],
     }
 
 
 def entity(name, source, key, columns, cluster, rules):
-    nk = f"{name}_natural_key"
     return {
         "table": f"{source}_gold",
         "name": name,
@@ -63,14 +83,14 @@ def entity(name, source, key, columns, cluster, rules):
         "natural_key": {"strategy": "composite", "components": key},
         "columns": {f"{source}_url": f"{source}_url"} | columns,
         "cluster_by": cluster,
-        "rules": [(f"{nk}_present", f"{nk} IS NOT NULL", "drop"), *rules],
+        "rules": [key_rule(name), *rules],
     }
 
 
 def allowed(column: str, *values: str):
     """Warn rule: value in the list, or NULL."""
     listed = ", ".join(f"'{v}'" for v in values)
-    return (f"{column}_known", f"{column} IS NULL OR {column} IN ({listed})", "warn")
+    return (ALLOWED_RULE[column], f"{column} IS NULL OR {column} IN ({listed})", "warn")
 
 
 CODE_KEY = [(code("code"), "UNKNOWN"), (START, "NULL")]
@@ -97,7 +117,7 @@ GOLD_SPECS = [
         ["patient_natural_key", "period_start"],
         [
             allowed("encounter_class", "AMB", "EMER", "IMP", "HH", "VR"),
-            ("period_start_present", "period_start IS NOT NULL", "warn"),
+            ("period_start_not_null", "period_start IS NOT NULL", "warn"),
         ],
     ),
     event(
@@ -288,7 +308,7 @@ GOLD_SPECS = [
         {"medication_code": code("code"), "medication_system": code("system"), "medication_display": code("display")}
         | STATUS | ALL_CODES,
         ["medication_code"],
-        [("medication_code_present", "medication_code IS NOT NULL", "warn")],
+        [("medication_code_not_null", "medication_code IS NOT NULL", "warn")],
     ),
     entity(
         "practitionerrole", "practitionerrole",
@@ -306,7 +326,7 @@ GOLD_SPECS = [
         | coded("specialty", "$.specialty[0].coding[0]") | coded("role", "$.code[0].coding[0]")
         | {"location_display": "$.location[0].display", "telecom_phone": "$.telecom[0].value"},
         ["practitioner_npi", "organization_identifier"],
-        [("practitioner_npi_present", "practitioner_npi IS NOT NULL", "warn")],
+        [("practitioner_npi_not_null", "practitioner_npi IS NOT NULL", "warn")],
     ),
 ]
 
