@@ -145,13 +145,23 @@ def _profile(join: Join):
             column = seq.as_bytes(batch.column("text"))
             for start, stop in seq.batches(column, 1 << 17):
                 hashes, bounds = shingle_sets(column, start, stop, join.width)
-                row, key = fragment_keys(hashes, bounds, join)
-                offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=stop - start))]).astype(np.int32)
-                keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(key))
                 part = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("tid"), pa.array(set_ids(hashes, bounds)), pa.array(np.diff(bounds)), keys], ["id", "tid", "sig", "n", "keys"]
-                )
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("tid"), pa.array(set_ids(hashes, bounds)), pa.array(np.diff(bounds))], ["id", "tid", "sig", "n"])
+
+    return run
+
+
+def _keys(join: Join):
+    """(key, sig) of all fragments. Made anew where they are used: they take more room than the texts."""
+    import pyarrow as pa
+
+    def run(table: Iterator) -> Iterator:
+        for batch in table:
+            column = seq.as_bytes(batch.column("text"))
+            for start, stop in seq.batches(column, 1 << 17):
+                hashes, bounds = shingle_sets(column, start, stop, join.width)
+                row, key = fragment_keys(hashes, bounds, join)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(set_ids(hashes, bounds)[row])], ["key", "sig"])
 
     return run
 
@@ -252,10 +262,9 @@ def ngram_links(docs: DataFrame, join: Join = Join(), id_column: str = "doc_id")
     """
     base = docs.select(F.col(id_column).alias("id"), F.xxhash64("text").alias("tid"), "text")
     kind = base.schema["id"].dataType.simpleString()
-    profile = stored(base.mapInArrow(_profile(join), f"id {kind}, tid long, sig long, n long, keys array<long>"), "profiles")
-    members = profile.select("id", "tid", "sig", "n")
+    members = stored(base.mapInArrow(_profile(join), f"id {kind}, tid long, sig long, n long"), "profiles")
 
-    keys = profile.select(F.explode("keys").alias("key"), "sig")
+    keys = base.select("text").mapInArrow(_keys(join), "key long, sig long")
     groups = keys.groupBy("key").agg(F.min("sig").alias("lead"), F.max("sig").alias("top")).filter("lead < top").select("key", "lead")
     shared = stored(keys.join(groups, "key").select("key", "sig", "lead").distinct(), "shared")
 
