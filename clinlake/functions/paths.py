@@ -16,11 +16,6 @@ def try_path(doc: Column | str, json_path: str, type_: str = "string") -> Column
     return F.try_variant_get(doc, json_path, type_)
 
 
-def cast_or_null(value: Column, type_: str) -> Column:
-    """Text to ``type_`` where unparsable text gives NULL, also under ANSI."""
-    return value.try_cast(type_)
-
-
 def schema_as_struct(schema: Column) -> Column:
     """VARIANT schema text with OBJECT written as STRUCT (type names only)."""
     return F.regexp_replace(schema, r"\bOBJECT<", "STRUCT<")

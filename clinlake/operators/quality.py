@@ -204,13 +204,18 @@ def _without_value(observations: DataFrame) -> DataFrame:
 
 def no_value_profile(observation_gold: DataFrame, top: int = 30) -> DataFrame:
     """The ``top`` most frequent codes among observations without a value."""
-    counted = _without_value(observation_gold).groupBy("category", "code", "code_display").agg(
+    rows = _without_value(observation_gold)
+    counted = rows.groupBy("category", "code", "code_display").agg(
         F.count("*").alias("no_value_count"),
         F.count("value_raw").alias("has_value_raw"),
         F.count_if(F.try_variant_get("resource", "$.component", "string").isNotNull()).alias("has_component"),
     )
-    shared = with_share(counted, "no_value_count", "pct_of_category", 1, ["category"], bounded=True)
-    return shared.orderBy(F.desc("no_value_count"), "category", "code", "code_display").limit(top)
+    order = [F.desc("no_value_count"), "category", "code", "code_display"]
+    first = counted.orderBy(*order).limit(top)
+    totals = rows.groupBy(F.col("category").alias("_category")).agg(F.count("*").alias("_total"))
+    shared = first.join(totals, F.col("category").eqNullSafe(F.col("_category")), "left")
+    share = F.round(F.col("no_value_count") * 100.0 / F.col("_total"), 1)
+    return shared.withColumn("pct_of_category", share).drop("_category", "_total").orderBy(*order)
 
 
 def root_cause_profile(observation_gold: DataFrame) -> DataFrame:

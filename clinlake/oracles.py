@@ -762,6 +762,23 @@ def csv_expected(name: str, strict: bool = False) -> str:
     return f"SELECT {', '.join(cols)} FROM {SOURCES[src]}"
 
 
+def csv_run_expected() -> str:
+    """Rows of every table that a run over all CSV types keeps."""
+    from clinlake.plans.csv_tables import CSV_TABLES
+    from clinlake.queries import CSV_LINES
+
+    parts = ["SELECT 'payers' AS type, 'raw' AS part, count(*) AS n FROM supplier"]
+    for name, table in CSV_TABLES.items():
+        rows = csv_expected(name)
+        valid = " AND ".join(f"coalesce({r.predicate}, false)" for r in table.rules if r.action == "drop") or "true"
+        parts += [
+            f"SELECT '{name}', 'raw', count(*) FROM {SOURCES[CSV_LINES[name][0]]}",
+            f"SELECT '{name}', 'current', count(*) FROM (SELECT DISTINCT {', '.join(table.keys)} FROM ({rows}) WHERE {valid})",
+            f"SELECT '{name}', 'quarantine', count(*) FROM ({rows}) WHERE NOT ({valid})",
+        ]
+    return " UNION ALL ".join(parts)
+
+
 # ---- the statements ---------------------------------------------------------
 
 
@@ -1118,6 +1135,7 @@ def build() -> dict[str, str]:
         "csv_encounters_quarantine": f"SELECT encounter_id, 'encounter_patient_id_null' AS failed FROM ({enc_csv}) WHERE patient_id IS NULL",
         "csv_conditions": f"""SELECT DISTINCT condition_start_date, patient_id, encounter_id, system, condition_code
             FROM ({csv_expected('conditions')}) WHERE patient_id IS NOT NULL""",
+        "csv_run": csv_run_expected(),
         "csv_rule_counts": f"""SELECT 'medication_total_cost_negative' AS rule, 'warn' AS action, count(*) FILTER (WHERE NOT coalesce(total_cost >= 0, false)) AS failed,
               count(*) AS total FROM ({med})
             UNION ALL SELECT 'total_claim_cost_zero', 'warn', count(*) FILTER (WHERE NOT coalesce(total_claim_cost = 0, false)), count(*) FROM ({enc_csv})

@@ -109,11 +109,12 @@ RAW_ONLY = ("claims", "devices", "payers", "imaging_studies")
 
 
 def stage(lines: DataFrame, table: CsvTable, strict_types: bool = False) -> DataFrame:
-    """Typed columns from raw lines; a field that does not parse becomes NULL."""
+    """Typed columns from raw lines; a field that does not parse becomes NULL.
+
+    As a generator the parser runs once per line: filters on its columns stay above it.
+    """
     parsed = F.from_csv("value", table.ddl(strict_types), {"mode": "PERMISSIVE"})
-    return lines.withColumn("_row", parsed).select(
-        *[c for c in lines.columns if c != "value"], "_row.*"
-    )
+    return lines.select(*[c for c in lines.columns if c != "value"], F.inline(F.array(parsed)))
 
 
 def current_rows(staged: DataFrame, table: CsvTable) -> DataFrame:

@@ -10,6 +10,8 @@ for the natural key of the linked patient.
 
 from __future__ import annotations
 
+from clinlake.functions.clinical import VALUE_KEYS
+
 PATIENT = "{patient}"
 START = "clinical_event_effective_start"
 END = "clinical_event_effective_end"
@@ -146,10 +148,7 @@ GOLD_SPECS = [
             "value_raw": "coalesce("
             + ", ".join(
                 f"try_variant_get(resource, '$.{k}', 'VARIANT')"
-                for k in (
-                    "valueQuantity", "valueCodeableConcept", "valueString", "valueBoolean",
-                    "valueInteger", "valueRange", "valueDateTime",
-                )
+                for k in VALUE_KEYS
             ) + ")",
             "effective_datetime": START_TS,
             "reference_range_low": "$.referenceRange[0].low.value::DOUBLE",

@@ -16,7 +16,7 @@ from clinlake.functions.extract import (
     extract_status,
 )
 from clinlake.operators.current import scd1
-from clinlake.operators.documents import infer_schema, reference_plans
+from clinlake.operators.documents import reference_plans
 
 SILVER_COMMENTS = {
     "bundle_uuid": "Bundle that delivered the resource",
@@ -113,11 +113,6 @@ def plans_of(schemas: DataFrame) -> tuple[dict[str, RefPlan], set[str]]:
     return plans, with_ids
 
 
-def discover(fields: DataFrame) -> tuple[dict[str, RefPlan], set[str]]:
-    """``plans_of`` over a batch of exploded fields."""
-    return plans_of(infer_schema(fields))
-
-
 # Reference fields of the resource types of the clinical exchange standard that
 # the gold specs read. Used where no discovery pass has been run yet.
 DECLARED_PLANS: dict[str, RefPlan] = {
