@@ -33,7 +33,7 @@ from llm.storage import components, packed, read, stored, unpacked
 
 SLACK = 3
 RATIO = 1.4
-SKETCH_BITS = 2048
+LEAST_BITS = 512
 RANGES = 8
 BLOCK = 1024
 
@@ -130,11 +130,41 @@ def fragment_keys(hashes: np.ndarray, bounds: np.ndarray, join: Join) -> tuple[n
     return row[order], key[order].view(np.int64)
 
 
-def sketches(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles in each of SKETCH_BITS buckets, as bytes per set."""
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    cell = row * SKETCH_BITS + (hashes % np.uint64(SKETCH_BITS)).astype(np.int64)
-    return np.packbits((np.bincount(cell, minlength=(len(bounds) - 1) * SKETCH_BITS) & 1).astype(np.uint8)).reshape(-1, SKETCH_BITS // 8)
+def sketches(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity of the number of shingles in each of 2n buckets or more (a power of two): 64-bit words end to end, and their bounds."""
+    n = np.diff(bounds)
+    bits = np.maximum(LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(2 * n, 2))).astype(np.int64))
+    first = np.concatenate([[0], np.cumsum(bits)])
+    row = np.repeat(np.arange(len(n)), n)
+    cell = first[row] + (hashes & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=int(first[-1])) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64), first // 64
+
+
+def distance(words: np.ndarray, bounds: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of the sketches x and y, the longer folded to the shorter's length: never more than the sets differ by."""
+    out = np.zeros(len(x), dtype=np.int64)
+    size = np.diff(bounds)
+    swap = size[x] < size[y]
+    x, y = np.where(swap, y, x), np.where(swap, x, y)
+    shapes = size[x] << 32 | size[y]
+    for shape in np.unique(shapes):
+        long, short = int(shape) >> 32, int(shape) & 0xFFFFFFFF
+        which = np.flatnonzero(shapes == shape)
+        for part in np.array_split(which, max(1, len(which) * long >> 21)):
+            a = words[bounds[x[part]][:, None] + np.arange(long)].reshape(len(part), -1, short)
+            b = words[bounds[y[part]][:, None] + np.arange(short)]
+            out[part] = np.bitwise_count((np.bitwise_xor.reduce(a, axis=1) ^ b).view(np.uint64)).sum(axis=1)
+    return out
+
+
+def _sketch_columns(*columns) -> tuple[np.ndarray, np.ndarray]:
+    """Words and bounds of one or more Arrow columns of sketches, one after another."""
+    words, sizes = [], []
+    for column in columns:
+        words.append(column.flatten().to_numpy(zero_copy_only=False))
+        sizes.append(np.diff(column.offsets.to_numpy()))
+    return np.concatenate(words), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
 
 def _profile(join: Join):
@@ -179,8 +209,8 @@ def _ranges(join: Join):
                 part = (np.repeat(np.arange(rows), np.diff(bounds)) * RANGES + (hashes >> np.uint64(61)).astype(np.int64)).astype(np.int64)
                 cuts = np.searchsorted(part, np.arange(rows * RANGES + 1)).astype(np.int32)
                 tokens = pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes.view(np.int64)))
-                sketch = sketches(hashes, bounds).view(np.int64)
-                wide = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * (SKETCH_BITS // 64)), pa.array(sketch.reshape(-1)))
+                sketch, edges = sketches(hashes, bounds)
+                wide = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(sketch))
                 sig, n = set_ids(hashes, bounds), np.diff(bounds)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -207,7 +237,7 @@ def _cross(join: Join):
         sig, root, n, block = (rows[c].to_numpy() for c in ("sig", "root", "n", "block"))
         job = seq.mix(rows["key"].to_numpy().view(np.uint64)) ^ (rows["low"].to_numpy().astype(np.uint64) << np.uint64(32)) ^ rows["high"].to_numpy().astype(np.uint64)
         apart = (rows["low"].to_numpy() != rows["high"].to_numpy())
-        sketch = rows["tokens"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_BITS // 64)
+        words, bounds = _sketch_columns(rows["tokens"].combine_chunks())
         i, shift = np.arange(len(sig)), 0
         while True:
             shift += 1
@@ -219,7 +249,7 @@ def _cross(join: Join):
             use = (root[i] != root[j]) & (sig[i] != sig[j]) & (~apart[i] | (block[i] != block[j]))
             use &= np.minimum(n[i], n[j]) * join.over >= np.maximum(n[i], n[j]) * join.share
             x, y = i[use], j[use]
-            near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1) <= join.differ(n[x], n[y])
+            near = distance(words, bounds, x, y) <= join.differ(n[x], n[y])
             x, y = sig[x[near]], sig[y[near]]
             if len(x):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
@@ -246,8 +276,25 @@ def _cross(join: Join):
     return run
 
 
+def _close(join: Join):
+    """Pairs (a, b) that sizes and sketches don't rule out."""
+    import pyarrow as pa
+
+    def run(table: Iterator) -> Iterator:
+        for batch in table:
+            words, bounds = _sketch_columns(batch.column("sa"), batch.column("sb"))
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            at = np.flatnonzero(np.minimum(na, nb) * join.over >= np.maximum(na, nb) * join.share)
+            at = at[distance(words, bounds, at, at + batch.num_rows) <= join.differ(na[at], nb[at])]
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(at)) for c in "ab"], ["a", "b"])
+
+    return run
+
+
 def _verified(pairs: DataFrame, tokens: DataFrame, join: Join) -> DataFrame:
     """Links among the pairs (a, b): overlaps per range of the order, summed per pair."""
+    named = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
+    tokens = stored(tokens.join(named, "sig", "left_semi"), "tokens")
     left = tokens.select(F.col("sig").alias("a"), "part", F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = tokens.select(F.col("sig").alias("b"), "part", F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     partial = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("shared"))
@@ -276,11 +323,8 @@ def ngram_links(docs: DataFrame, join: Join = Join(), id_column: str = "doc_id")
 
     stars = shared.filter("sig <> lead").select(F.col("lead").alias("a"), F.col("sig").alias("b")).distinct()
     ends = [sketch.select(F.col("sig").alias(e), F.col("n").alias("n" + e), F.col("tokens").alias("s" + e)) for e in "ab"]
-    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    na, nb = F.col("na"), F.col("nb")
-    near = F.least(na, nb) * join.over >= F.greatest(na, nb) * join.share
-    close = apart * (join.over + join.share) <= (na + nb) * (join.over - join.share)
-    tried = stored(stars.join(ends[0], "a").join(ends[1], "b").filter(near & close).select("a", "b"), "stars")
+    both = stars.join(ends[0], "a").join(ends[1], "b").select("a", "b", "na", "nb", "sa", "sb")
+    tried = stored(both.mapInArrow(_close(join), "a long, b long"), "stars")
     links = stored(_verified(tried, tokens, join), "links")
     first = components(links)
 

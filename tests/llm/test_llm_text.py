@@ -148,6 +148,17 @@ def test_ngram_chains(spark, join, monkeypatch):
     assert got == sorted(ngram_join.brute_force(rows, join))
 
 
+@given(st.lists(st.sets(st.integers(0, 2**64 - 1), max_size=300), min_size=2, max_size=5), st.randoms())
+@settings(max_examples=40, deadline=None)
+def test_sketches_never_exceed_the_difference(sets, r):
+    sets.append({x for x in sets[0] if r.random() < 0.9} | {r.getrandbits(64)})
+    hashes = np.array([x for s in sets for x in sorted(s)], dtype=np.uint64)
+    words_, bounds = ngram_join.sketches(hashes, np.cumsum([0, *map(len, sets)]))
+    x, y = np.triu_indices(len(sets))
+    got = ngram_join.distance(words_, bounds, x, y)
+    assert all(g <= len(sets[i] ^ sets[j]) and (i != j or g == 0) for g, i, j in zip(got, x, y))
+
+
 def test_ngram_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = sorted(tuple(r) for r in ngram_join.op1_ngram_jaccard(spark, SF).collect())
