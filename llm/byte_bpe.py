@@ -6,7 +6,7 @@ buckets hold something, so find-first-set yields the next rank. A bucket holds p
 a linked list of parts; entries whose parts have changed since are stale and skipped. The
 cost of a merge does not depend on the length of the pre-token.
 
-Texts are cut at every space that stands before a non-space, which always is a border of
+Texts are cut at spaces that stand before a non-space and at single line ends, which always are borders of
 pre-tokens, so that pieces seen before (in a bounded table) need neither the pattern nor
 the queue.
 
@@ -37,16 +37,25 @@ BUFFER = 400_000  # bytes of pre-tokens merged at a time
 BATCH = 256  # documents
 LEVEL = 6
 WORD = (1 << LEVEL) - 1
-ODD_SPACE = re.compile(r" (?:\s|\Z)")
+ODD_SPACE = re.compile(r"\s\s|\A\s|\s\Z")
 
 
 def split_at_spaces(text: str) -> list[str]:
-    """The text cut before every space that a non-space follows."""
-    first, *rest = text.split(" ")
-    out = [first] if first else []
+    """The text cut before every space that a non-space follows, and around line ends between non-spaces.
+
+    All of these are borders of pre-tokens.
+    """
     if not ODD_SPACE.search(text):
-        out += [" " + part for part in rest]
+        out = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append(first)
+            out += [" " + part for part in rest]
+            out.append("\n")
+        out.pop()
         return out
+    first, *rest = text.split(" ")
+    out = [first] if first else []
     for part in rest:
         if out and (not part or part[0].isspace()):
             out[-1] += " " + part
