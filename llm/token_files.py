@@ -36,6 +36,7 @@ from llm.storage import lowest_share, read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
+MARKS = frozenset(".,;:!?")
 CACHE = 1_000_000  # pieces
 BATCH = 256  # documents encoded at a time
 BLOCK_DOCUMENTS = 1024
@@ -61,12 +62,16 @@ class IdEncoder:
         if len(known) > CACHE:
             known.clear()
         parts = [split_at_spaces(t) if t else [] for t in texts]
-        new = list({p for each in parts for p in each if p not in known})
-        if new:
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+        new = {p for each in parts for p in each if p not in known}
+        stems = {p: p[:-1] for p in new if p[-1] in MARKS and p[-2:-1].isalpha()}  # letters and marks never share a token
+        todo = list({stems.get(p, p) for p in new}.union({p[-1] for p in stems}).difference(known))
+        if todo:
+            for piece, found in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False)):
                 known[piece] = np.array(found.ids, dtype="<u4").tobytes()
+        for p, stem in stems.items():
+            known[p] = known[stem] + known[p[-1]]
         out = [b"".join([known[p] for p in each]) for each in parts]
-        for p in new:
+        for p in new.union(todo):
             if len(p) > 64:
                 del known[p]
         return out
