@@ -18,6 +18,10 @@ from clinlake.functions.paths import first_where, try_path
 from clinlake.operators.current import latest_per_key
 
 
+# Start of a stand-in for a missing key; no url or key begins with NUL.
+MISSING = "\0missing-"
+
+
 def reference_url(references: Column, *fields: str) -> Column:
     """Url of the first reference recorded under any of the field names, in order."""
 
@@ -36,17 +40,15 @@ def left_lookup(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]])
     """LEFT equi-join that keeps every row of ``df`` and spreads NULL keys of any type.
 
     ``on`` pairs a column of ``df`` with a column of ``lookup``; the key columns
-    of ``lookup`` are dropped from the result. A salt joins the key: 0 on the
-    lookup side, a hash of the row where a key is missing. Hashed as NULL alone, all rows
+    of ``lookup`` are dropped from the result. Keys are compared as text, and a missing one takes a
+    stand-in made of a hash of the row, which matches nothing: hashed as NULL, all rows
     without a reference would land in one task.
     """
-    missing = F.lit(False)
-    for mine, _ in on:
-        missing = missing | F.col(mine).isNull()
-    salt = F.when(missing, F.xxhash64(*spreading_columns(df))).otherwise(F.lit(0).cast("long"))
-    side = lookup.select(*[F.col(c).alias(f"_l_{c}") for c in lookup.columns]).withColumn("_l_salt", F.lit(0).cast("long"))
-    cond = [F.col(mine) == F.col(f"_l_{theirs}") for mine, theirs in on] + [F.col("_j_salt") == F.col("_l_salt")]
-    joined = df.withColumn("_j_salt", salt).join(side, cond, "left")
+    row = F.concat(F.lit(MISSING), F.xxhash64(*spreading_columns(df)).cast("string"))
+    joinable = df.withColumns({f"_j_{mine}": F.coalesce(F.col(mine).cast("string"), row) for mine, _ in on})
+    side = lookup.select(*[F.col(c).alias(f"_l_{c}") for c in lookup.columns])
+    cond = [F.col(f"_j_{mine}") == F.col(f"_l_{theirs}").cast("string") for mine, theirs in on]
+    joined = joinable.join(side, cond, "left")
     taken = {theirs for _, theirs in on}
     return joined.select(*df.columns, *[F.col(f"_l_{c}").alias(c) for c in lookup.columns if c not in taken])
 

@@ -16,6 +16,11 @@ def test_lookup_keeps_and_spreads_missing_keys(spark):
         shuffled = left_lookup(df, one_row_per(side, ["u"], ["name"]), [("url", "u")]).where("url IS NULL")
         parts = shuffled.select(F.spark_partition_id().alias("p")).distinct().count()
         assert parts > 1
+        numbers = df.select("id", F.when(F.col("id") % 3 == 0, F.col("id") % 9).alias("n"))
+        known = spark.createDataFrame([(0, "zero"), (3, "three")], "k long, name string")
+        out = left_lookup(numbers, known, [("n", "k")])
+        assert {(r.n, r.name) for r in out.where("n < 5").distinct().collect()} >= {(0, "zero"), (3, "three")}
+        assert out.where("n IS NULL").select(F.spark_partition_id().alias("p")).distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
