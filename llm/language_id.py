@@ -33,6 +33,7 @@ SAMPLE = 1500
 REJECT = 0.005
 UNKNOWN = "und"
 PIECE = 1 << 18
+ROWS = 256  # texts counted at a time
 
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
@@ -105,7 +106,7 @@ def _frequencies():
         seen, texts = np.zeros(BUCKETS, dtype=np.int64), 0
         for batch in table:
             column = seq.as_bytes(batch.column("text"))
-            for start, stop in seq.batches(column, 1 << 16):
+            for start, stop in seq.batches(column, 1 << 16, ROWS):
                 seen += (text_counts(column, start, stop) > 0).sum(axis=0)
                 texts += stop - start
         at = np.flatnonzero(seen)
@@ -141,7 +142,7 @@ def _clusters(idf: np.ndarray, k: int, reject: float):
     def run(table):
         lang = table["lang"][0]
         column = seq.as_bytes(table["text"])
-        x = np.concatenate([tf_idf(text_counts(column, a, b), idf) for a, b in seq.batches(column, 1 << 16)])
+        x = np.concatenate([tf_idf(text_counts(column, a, b), idf) for a, b in seq.batches(column, 1 << 16, ROWS)])
         x = x[np.lexsort(x.T[:8])]
         c = k_means(x, k)
         cosine = x @ c.T
@@ -183,7 +184,7 @@ def _predict(model: Model):
     def run(table: Iterator) -> Iterator:
         for batch in table:
             column = seq.as_bytes(batch.column("body"))
-            for start, stop in seq.batches(column, 1 << 16):
+            for start, stop in seq.batches(column, 1 << 16, ROWS):
                 part = batch.slice(start, stop - start)
                 named = np.array([has_letter(t) for t in part.column("body").to_pylist()], dtype=bool)
                 lang, score, rejected = [UNKNOWN] * (stop - start), np.zeros(stop - start), np.ones(stop - start, dtype=bool)

@@ -75,13 +75,13 @@ class Words:
     bounds: np.ndarray
 
 
-def batches(column, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of an Arrow binary column with about ``limit`` bytes each, one row at least."""
+def batches(column, limit: int = 1 << 20, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of an Arrow binary column with about ``limit`` bytes and at most ``most`` rows each, one row at least."""
     offsets = np.asarray(byte_offsets(column), dtype=np.int64)
     row, rows = 0, len(column)
     while row < rows:
         stop = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        stop = min(rows, max(stop, row + 1))
+        stop = min(rows, row + most, max(stop, row + 1))
         yield row, stop
         row = stop
 
