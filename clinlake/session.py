@@ -27,6 +27,18 @@ def local_session(app: str = "clinlake", cores: int | str = 8, memory: str = "12
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to Python workers that can't import it from where they start.
+
+    An installed package (``pip install``) on all machines makes this needless.
+    """
+    import shutil
+
+    folder = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="clinlake-"), "clinlake"), "zip", os.path.dirname(folder), os.path.basename(folder))
+    spark.sparkContext.addPyFile(archive)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder of the session.
 
