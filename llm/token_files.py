@@ -8,7 +8,8 @@ stored as Parquet in ascending document order and carry their place, so a lost t
 writes its blocks again and nothing else.
 
 Encoding calls the tokenizers library for every piece of text (cut before spaces that a non-space
-follows, which are borders of its pre-tokens) that a bounded table doesn't hold yet.
+follows, which are borders of its pre-tokens) that a bounded table doesn't hold yet. Texts that contain
+the string of an added token go to the library whole, which gives them that token's id.
 
 Results for special rows: null and empty texts hold the end id alone; null document ids come first; equal
 document ids are ordered by a hash of their text; an empty table gives no blocks and an empty dictionary.
@@ -17,6 +18,7 @@ document ids are ordered by a hash of their text; an empty table gives no blocks
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,14 +56,17 @@ class IdEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         known = self.known
         if len(known) > CACHE:
             known.clear()
-        parts = [split_at_spaces(t) if t else [] for t in texts]
+        whole = [i for i, t in enumerate(texts) if t and self.added.search(t)]
+        apart = set(whole)
+        parts = [split_at_spaces(t) if t and i not in apart else [] for i, t in enumerate(texts)]
         new = {p for each in parts for p in each if p not in known}
         stems = {p: p[:-1] for p in new if p[-1] in MARKS and p[-2:-1].isalpha()}  # letters and marks never share a token
         todo = list({stems.get(p, p) for p in new}.union({p[-1] for p in stems}).difference(known))
@@ -74,6 +79,9 @@ class IdEncoder:
         for p in new.union(todo):
             if len(p) > 64:
                 del known[p]
+        if whole:
+            for i, found in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
+                out[i] = np.array(found.ids, dtype="<u4").tobytes()
         return out
 
 

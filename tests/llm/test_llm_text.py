@@ -270,6 +270,17 @@ def test_token_files(spark, docs, empty, tmp_path):
         token_files.read_token_files(spark, spoiled).collect()
 
 
+def test_token_files_awkward_ids(spark, docs, tmp_path):
+    rows = [(i, t) for i, t, *_ in awkward()] + [(30, "a <|endoftext|> b"), (31, "<|endoftext|>"), (32, "x<|endoftext|><|endoftext|>\n\n y  <|endoftext|>  z"), (33, "<|endoftext |>")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = token_files.read_token_files(spark, token_files.write_token_files(frame, str(tmp_path / "ids")))
+    got = out.select("doc_id", "n_tokens", token_files.F.crc32("ids").alias("crc")).collect()
+    shown = lambda rows: sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, *r[1:]))
+    assert shown(tuple(r) for r in got) == shown((i, n, crc) for i, _, n, crc in token_files.brute_force(rows))
+    with_mark = token_files.IdEncoder(token_files.TOKENIZER).encode(["a <|endoftext|> b"])[0]
+    assert np.frombuffer(with_mark, dtype="<u4").tolist() == [64, 220, 50256, 275]
+
+
 def test_token_files_query(spark):
     rows = sorted(tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     assert sorted(tuple(r) for r in token_files.op6_token_files(spark, SF).collect()) == token_files.brute_force(rows)
