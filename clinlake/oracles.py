@@ -56,6 +56,48 @@ def source(kind: str) -> str:
     return SOURCES[DOCUMENTS[kind][0]]
 
 
+def json_fields(kind: str) -> dict[str, str]:
+    """SQL of the JSON text of every top-level field; members in order of name, absent ones left out."""
+    tree: dict = {}
+    for path, expr in DOCUMENTS[kind][4].items():
+        node = tree
+        *steps, last = path.split(".")
+        for step in steps:
+            node = node.setdefault(step, {})
+        node[last] = expr
+    tree |= {"resourceType": f"'{kind}'", "id": f"({DOCUMENTS[kind][2]})", "meta": {"lastUpdated": DOCUMENTS[kind][3]}}
+
+    def text(step: str, node) -> str:
+        if isinstance(node, str):
+            # whole numbers have no decimal places
+            body = f"CASE WHEN ({node}) IS NOT NULL THEN regexp_replace(CAST(to_json({node}) AS VARCHAR), '[.]0$', '') END"
+        else:
+            parts = ", ".join(f"""'"{k.removesuffix('[0]')}":' || {text(k, node[k])}""" for k in sorted(node, key=lambda k: k.removesuffix("[0]")))
+            body = f"('{{' || nullif(concat_ws(',', {parts}), '') || '}}')"
+        return f"('[' || {body} || ']')" if step.endswith("[0]") else body
+
+    out = {k.removesuffix("[0]"): text(k, node) for k, node in tree.items()}
+    if kind in IDENTIFIERS:
+        items = []
+        for cond, system, val, code in IDENTIFIERS[kind]:
+            coding = f'{{"code":"{code}"}}' if code else "{}"
+            items.append(f"""CASE WHEN {cond} THEN '{{"system":"{system}","type":{{"coding":[{coding}]}},"value":"' || {val} || '"}}' END""")
+        out["identifier"] = f"'[' || concat_ws(',', {', '.join(items)}) || ']'"
+    return out
+
+
+def reference_shapes() -> list[tuple[str, str, str, str | None]]:
+    """(type, shape, field, sub field) of every reference in the document maps."""
+    out = []
+    for kind, d in DOCUMENTS.items():
+        for path in d[4]:
+            if path.endswith(".reference"):
+                field, _, sub = path.removesuffix(".reference").partition(".")
+                shape = "nested" if sub else "array" if field.endswith("[0]") else "direct"
+                out.append((kind, shape, field.removesuffix("[0]"), sub or None))
+    return out
+
+
 def reference_count(kind: str) -> str:
     parts = [f"CASE WHEN {e} IS NOT NULL THEN 1 ELSE 0 END" for p, e in DOCUMENTS[kind][4].items() if p.endswith(".reference")]
     return "CAST(" + (" + ".join(parts) or "0") + " AS BIGINT)"
@@ -979,6 +1021,28 @@ def build() -> dict[str, str]:
             ('Encounter', 'nested', 'location', 'location'), ('Encounter', 'nested', 'participant', 'individual'),
             ('Coverage', 'array', 'payor', NULL), ('Coverage', 'direct', 'beneficiary', NULL)) AS t(resource_type, shape, field, sub_field)""",
     }
+    measured = (
+        ("mv_encounter_utilization", ENCOUNTER_MEASURES, encounters_with_patients()),
+        ("mv_clinical_events", EVENT_MEASURES, f"({clinical_event_rows()})"),
+        ("mv_patient_demographics", PATIENT_MEASURES, f"({dim_patient_rows()})"),
+    )
+    out |= {
+        "explode_all_fields": " UNION ALL ".join(
+            f"""SELECT '{k}' AS "resourceType", '{f}' AS key, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT)) AS BIGINT) AS hashes
+            FROM (SELECT sha256({uuid(k)} || '{f}') || {v} AS t FROM {source(k)}) WHERE t IS NOT NULL HAVING count(*) > 0"""
+            for k in DOCUMENTS for f, v in json_fields(k).items()
+        ),
+        "classify_all_references": "SELECT * FROM (VALUES "
+        + ", ".join(f"('{k}', '{shape}', '{f}', {repr(sub) if sub else 'NULL'})" for k, shape, f, sub in reference_shapes())
+        + ") AS t(resource_type, shape, field, sub_field)",
+        "silver_all_types": " UNION ALL ".join(
+            f"SELECT '{k}' AS kind, count(*) AS n, CAST(coalesce(sum({reference_count(k)}), 0) AS BIGINT) AS refs FROM {source(k)}" for k in DOCUMENTS
+        ),
+        "validate_all_measures": " UNION ALL ".join(
+            f"SELECT name AS measure, round(v, 4) AS value, '{view}' AS view FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM "
+            f"(SELECT {found} FROM {rows})) ON COLUMNS(*) INTO NAME name VALUE v)" for view, found, rows in measured
+        ),
+    }
     first_last = "row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1"
     out |= {
         "scd1": f"SELECT event_id, {shown_ts('ts')}, user_id, event_type, value FROM ({LAST_EVENT})",
@@ -1026,6 +1090,9 @@ def build() -> dict[str, str]:
         "longest_prefix_join": """WITH p AS (SELECT DISTINCT prefix FROM (SELECT upper(regexp_extract(url, '^(https?://[^/]+)', 1)) AS prefix FROM pages
               UNION ALL SELECT regexp_extract(url, '^(https?://[^/]+/[^/]+)', 1) FROM pages WHERE page_id % 2 = 0) WHERE prefix <> '')
             SELECT page_id, arg_max(prefix, length(prefix)) AS prefix FROM pages LEFT JOIN p ON starts_with(lower(url), lower(prefix)) GROUP BY 1""",
+        "longest_prefix_all": """WITH p AS (SELECT DISTINCT prefix FROM (SELECT upper(regexp_extract(url, '^(https?://[^/]+)', 1)) AS prefix FROM pages
+              UNION ALL SELECT regexp_extract(url, '^(https?://[^/]+/[^/]+)', 1) FROM pages) WHERE prefix <> '')
+            SELECT page_id, arg_max(prefix, length(prefix)) AS prefix FROM pages LEFT JOIN p ON starts_with(lower(url), lower(prefix)) GROUP BY 1""",
         "uncovered_types": "SELECT 'Coverage' AS \"resourceType\"",
         "resolve_reference": """SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 AND o_custkey % 4 <> 0 THEN c_name END AS patient_natural_key
             FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
@@ -1119,6 +1186,12 @@ def build() -> dict[str, str]:
                 ("location", "supplier", entity_rows("Location")),
             )
         ),
+        "dedup_all_stats": " UNION ALL ".join(
+            f"SELECT '{k}' AS tbl, s AS silver_rows, g AS gold_rows, round((s - g) * 100.0 / s, 1) AS dedup_pct FROM "
+            f"(SELECT (SELECT count(*) FROM {source(k)}) AS s, (SELECT count(*) FROM ({rows})) AS g)"
+            for k, rows in [("Patient", patient_rows()), *((k, entity_rows(k)) for k in ("Practitioner", "Organization", "Location")),
+                            *((GOLD[t][0], gold_rows(t)) for t in GOLD)]
+        ),
         "inject_faults": f"""SELECT 'E' || o_orderkey AS encounter_id,
             CASE WHEN {draw('patient_id', 10000, 7, "('E' || o_orderkey)")} < 500 THEN NULL WHEN o_orderkey % 20 <> 0 THEN 'C' || o_custkey END AS patient_id,
             round(CASE WHEN {draw('payer_coverage', 10000, 7, "('E' || o_orderkey)")} < 500 THEN -1 ELSE 1 END
@@ -1189,6 +1262,7 @@ def build() -> dict[str, str]:
         "read_csv_lines": f"SELECT encounter_id, patient_id, total_claim_cost FROM ({enc_csv})",
         "export_ndjson": f"""SELECT 'patient-' || c_custkey AS id, CAST(birth_date AS VARCHAR) AS birth_date FROM ({patient_rows()})""",
         "layout": "SELECT l_suppkey, count(*) AS n, max(l_partkey) AS max_part FROM lineitem WHERE l_suppkey = 7 GROUP BY 1",
+        "layout_all": "SELECT l_suppkey, count(*) AS n, max(l_partkey) AS max_part FROM lineitem GROUP BY 1",
         "upsert_stream": f"SELECT event_id, {shown_ts('ts')}, user_id, event_type, value FROM ({LAST_EVENT})",
         "read_snapshot": f"SELECT user_id, event_id FROM ({LAST_EVENT})",
         "read_stream_of_table": f"SELECT user_id, event_id, {shown_ts('ts')} FROM ({LAST_EVENT})",

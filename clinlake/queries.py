@@ -402,6 +402,11 @@ def order_fields(spark, sf) -> DataFrame:
     return documents.explode_fields(resource_rows(spark, sf, "Encounter"))
 
 
+def all_fields(spark, sf) -> DataFrame:
+    parts = [documents.explode_fields(resource_rows(spark, sf, kind)) for kind in DOCUMENTS]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def explode_fields(spark, sf):
     rows = order_fields(spark, sf).where("key IN ('status', 'resourceType', 'id', 'period')")
@@ -410,15 +415,18 @@ def explode_fields(spark, sf):
 
 @query
 def infer_schema(spark, sf):
-    fields = order_fields(spark, sf).unionByName(documents.explode_fields(resource_rows(spark, sf, "Patient")))
-    return documents.infer_schema(fields)
+    """Merged schema of every field of every type."""
+    return documents.infer_schema(all_fields(spark, sf))
 
 
 @query
 def classify_references(spark, sf):
     """Reference fields found in the whole data, by shape."""
     fields = order_fields(spark, sf).unionByName(documents.explode_fields(resource_rows(spark, sf, "Coverage")))
-    plans = documents.reference_plans(documents.infer_schema(fields))
+    return _shapes(spark, documents.reference_plans(documents.infer_schema(fields)))
+
+
+def _shapes(spark, plans) -> DataFrame:
     rows = []
     for kind, plan in plans.items():
         rows += [(kind, "direct", f, None) for f in plan.direct]
@@ -427,6 +435,37 @@ def classify_references(spark, sf):
     return spark.createDataFrame(rows, "resource_type string, shape string, field string, sub_field string")
 
 
+@query
+def explode_all_fields(spark, sf):
+    """Every field of every resource of every type, as row counts and sums of hashes over key and value."""
+    rows = all_fields(spark, sf).select("resourceType", "key", F.concat("resource_key_uuid", F.to_json("value")).alias("text"))
+    hashed = F.conv(F.substring(F.md5("text"), 1, 8), 16, 10).cast("long")
+    return rows.groupBy("resourceType", "key").agg(F.count("text").alias("n"), F.sum(hashed).alias("hashes"))
+
+
+@query
+def classify_all_references(spark, sf):
+    """Reference fields of every type, by shape."""
+    return _shapes(spark, documents.reference_plans(documents.infer_schema(all_fields(spark, sf))))
+
+
+@query
+def silver_all_types(spark, sf):
+    """Rows and references of every silver type."""
+    parts = []
+    for kind in DOCUMENTS:
+        counts = silver_rows(spark, sf, kind).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("references")), F.lit(0)).alias("refs"))
+        parts.append(counts.select(F.lit(kind).alias("kind"), "n", "refs"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query
+def validate_all_measures(spark, sf):
+    """Every measure of every view over the whole tables."""
+    parts = [metrics.validate(v, metric_tables(spark, sf, v.inputs), AS_OF) for v in metrics.METRIC_VIEWS]
+    return rounded(functools.reduce(DataFrame.unionByName, parts), 4)
+
+
 @query
 def extract_references(spark, sf):
     rows = silver_rows(spark, sf, "Encounter").select("encounter_url", F.explode("references").alias("r"))
@@ -765,6 +804,16 @@ def longest_prefix_join(spark, sf):
     return links.longest_prefix_join(pages, "url", prefixes, "prefix", ["page_id"]).select("page_id", "prefix")
 
 
+@query
+def longest_prefix_all(spark, sf):
+    """As ``longest_prefix_join``, with the section prefixes of all pages."""
+    pages = read_table(spark, sf, "pages").select("page_id", "url")
+    host = pages.select(F.upper(F.regexp_extract("url", "^(https?://[^/]+)", 1)).alias("prefix"))
+    section = pages.select(F.regexp_extract("url", "^(https?://[^/]+/[^/]+)", 1).alias("prefix"))
+    prefixes = host.union(section).where("prefix <> ''").distinct()
+    return links.longest_prefix_join(pages, "url", prefixes, "prefix", ["page_id"]).select("page_id", "prefix")
+
+
 @query
 def uncovered_types(spark, sf):
     """Event types that no spec of a shortened registry reads."""
@@ -1091,6 +1140,16 @@ def dedup_stats(spark, sf):
     return flat(quality.dedup_stats(gold_tables, silver_tables))
 
 
+@query
+def dedup_all_stats(spark, sf):
+    """Rows before and after resolution of every gold table."""
+    built = {"Patient": patients_gold, "Practitioner": practitioners_gold, "Organization": organizations_gold, "Location": locations_gold}
+    gold_tables = {k: build(spark, sf) for k, build in built.items()}
+    kinds = {k.lower(): k for k in DOCUMENTS}
+    gold_tables |= {kinds[spec["source"]]: spec_gold(spark, sf, t) for t, spec in SPEC_BY_TABLE.items()}
+    return flat(quality.dedup_stats(gold_tables, {k: silver_rows(spark, sf, k) for k in gold_tables}))
+
+
 @query
 def inject_faults(spark, sf):
     rows = encounter_csv(spark, sf)
@@ -1559,6 +1618,15 @@ def layout(spark, sf):
     return rows.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.max("l_partkey").alias("max_part"))
 
 
+@query
+def layout_all(spark, sf):
+    """Facts written in key order and read back whole: no supplier is lost."""
+    path = scratch_path(spark, "layout")
+    streams.write_clustered(read_table(spark, sf, "lineitem"), path, ["l_suppkey", "l_shipdate"], 8)
+    rows = spark.read.parquet(path)
+    return rows.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.max("l_partkey").alias("max_part"))
+
+
 def daily_log(spark, sf, after_drop=lambda log: None) -> streams.KeyedLog:
     """Events streamed into a keyed log in three drops, the middle days last."""
     source, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "checkpoint")
@@ -1618,7 +1686,8 @@ def log_change_stream(spark, sf):
 def schema_stream(spark, sf):
     """Streaming schema inference over stored resources."""
     path, out = scratch_path(spark, "resources"), scratch_path(spark, "schemas")
-    resource_rows(spark, sf, "Encounter").write.mode("overwrite").parquet(path)
+    for kind in DOCUMENTS:
+        resource_rows(spark, sf, kind).write.mode("append").parquet(path)
     stored = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     streams.schema_stream(documents.explode_fields(stored), out, scratch_path(spark, "checkpoint"))
     return spark.read.parquet(out).select("resourceType", "column_name", "schema_of_variant")
