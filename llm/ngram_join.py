@@ -99,7 +99,7 @@ def set_ids(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def fragment_keys(hashes: np.ndarray, bounds: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the non-empty fragments of each set, for its own size class and that of its least partner: (row, key)."""
+    """Keys of the non-empty fragments of each set, for every size class from its least partner's to its own: (row, key)."""
     low, fragments = size_classes(join)
     n = np.diff(bounds)
     row = np.repeat(np.arange(len(n)), n)
@@ -107,7 +107,8 @@ def fragment_keys(hashes: np.ndarray, bounds: np.ndarray, join: Join) -> tuple[n
     partner = np.searchsorted(low, -(-join.share * n // join.over), side="right") - 1
     scattered = seq.mix(hashes + np.uint64(5))
     rows, keys = [], []
-    for c in (own, np.where(partner < own, partner, -1)):
+    for below in range(int((own - partner).max(initial=0)) + 1):
+        c = np.where(own - below >= partner, own - below, -1)
         cut = np.where(c >= 0, fragments[c], 0)
         use = (cut > 0)[row]
         x, r, s = hashes[use], row[use], scattered[use]

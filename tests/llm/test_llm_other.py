@@ -121,3 +121,15 @@ def test_pipeline(spark):
     for doc, _, component in ngram_join.brute_force([(i, r["text"]) for i, r in sorted(known.items())], ngram_join.Join(5, 80)):
         groups.setdefault(component, set()).add(doc)
     assert all(len(members & kept) <= 1 for members in groups.values())
+
+
+def test_ngram_keys_of_classes_between():
+    from llm import ngram_join
+
+    r = np.random.default_rng(3)
+    for share, small, large in [(50, 60, 100), (40, 60, 140), (30, 50, 160), (80, 90, 100)]:
+        for _ in range(20):
+            whole = r.integers(0, 1 << 63, large, dtype=np.uint64)
+            sets = [np.sort(whole[:small]), np.sort(whole)]
+            row, key = ngram_join.fragment_keys(np.concatenate(sets), np.array([0, small, small + large]), ngram_join.Join(share=share))
+            assert set(key[row == 0]) & set(key[row == 1])
