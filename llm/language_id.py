@@ -163,13 +163,15 @@ def learn(training: DataFrame, k: int = CENTROIDS, sample: int = SAMPLE, reject:
     for bucket, n in seen.items():
         df[bucket] = n
     idf = np.log((1 + total) / (1 + df)) + 1
-    # twice the bound a language by hash, so that sorting and sending stay bounded at any size
-    sizes = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # twice the bound of distinct texts a language by hash, so that sorting and sending stay bounded at any size
+    distinct = texts.select("lang", "h").distinct()
+    sizes = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     share = F.lit(1.0)
     for lang, n in sorted(sizes.items()):
         if n > 2 * sample:
             share = F.when(F.col("lang") == lang, 2 * sample / n).otherwise(share)
     texts = texts.filter((F.col("h").cast("double") / 2.0**64 + 0.5) <= share)
+    texts = texts.groupBy("lang", "h").agg(F.min("text").alias("text"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     chosen = texts.withColumn("place", place).filter(F.col("place") <= sample).select("lang", "text")
     found = chosen.groupBy("lang").applyInArrow(_clusters(idf, k, reject), "lang string, centroid array<double>, least double").collect()

@@ -133,3 +133,9 @@ def test_ngram_keys_of_classes_between():
             sets = [np.sort(whole[:small]), np.sort(whole)]
             row, key = ngram_join.fragment_keys(np.concatenate(sets), np.array([0, small, small + large]), ngram_join.Join(share=share))
             assert set(key[row == 0]) & set(key[row == 1])
+
+
+def test_languages_of_few_texts_are_learned(spark):
+    texts = [("aa", f"lomitan tanlo mi {w}") for w in ("lo", "mi")] * 400 + [("bb", f"schrung keit {i} ung") for i in range(60)]
+    model = language_id.learn(spark.createDataFrame(texts, "lang string, text string"), sample=5)
+    assert set(model.langs) == {"aa", "bb"}
