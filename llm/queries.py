@@ -7,9 +7,12 @@ from llm import (
     byte_bpe,
     embedding_dedup,
     language_id,
+    line_quality,
     ngram_join,
+    phrases,
     quality_rules,
     source_mixing,
+    spelling_variants,
     substring_dedup,
     suffix_dedup,
     token_files,
@@ -27,7 +30,14 @@ QUERIES = {
     "op8_source_mixing": source_mixing.op8_source_mixing,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op11_phrase_collocations": phrases.op11_phrase_collocations,
+    "op12_line_quality": line_quality.op12_line_quality,
+    "op13_spelling_variants": spelling_variants.op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op3_url_filters": url_filters.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_url_filters": url_filters.ORACLE,
+    "op11_phrase_collocations": phrases.ORACLE,
+    "op13_spelling_variants": spelling_variants.ORACLE,
+}
