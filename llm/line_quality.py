@@ -11,7 +11,7 @@ The learner sees at most ``SAMPLE`` labelled texts a class, those of least hash
 line of every text.
 
 Results for special rows: null and empty texts are one empty line; null labels and labels without
-a text are ignored, labels of a null id too; repeated rows count once each; with no label, or labels of one class, every
+a text are ignored, labels of a null id too; repeated labels count once, repeated texts each; with no label, or labels of one class, every
 score is the share of label 1 (0.5 without any); ``score`` and ``predicted`` replace input columns of these names, other columns stay.
 """
 
@@ -236,18 +236,18 @@ def _learner(rounds: int):
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = LINES, rounds: int = ROUNDS) -> Field:
     """A field from the texts that ``labels`` (doc_id, quality) mark."""
-    known = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    known = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.5
     nothing = Field(np.zeros(0), np.ones(0), np.zeros(0), np.zeros((2, 2)), share)
     if len(counts) < 2:
         return nothing
-    # three times the bound by hash, so that sorting and sending stay bounded at any size
+    # three times the bound by hash, whatever the size of the tables: few enough to be sent to every task
     hashed = F.xxhash64("doc_id")
     near = [F.when(F.col("quality") == q, lowest_share(hashed, min(1.0, 3 * sample / counts[q]))) for q in (0, 1)]
     known = known.filter(F.coalesce(*near))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id").withColumn("h", F.xxhash64("doc_id"))
     texts = texts.filter(F.length("text") - F.length(F.replace("text", F.lit("\n"))) < lines).filter(F.length("text") <= CHARS)
     place = F.row_number().over(Window.partitionBy("quality").orderBy("h", "text"))
     chosen = stored(texts.withColumn("place", place).filter(F.col("place") <= sample).select("h", "text", "quality"), "labelled")
