@@ -4,8 +4,10 @@ The global n-gram order is the order of 64-bit shingle hashes; cutting it into
 ranges cuts every document's set into fragments.
 
 * Screening: for sets of a size class, two sets within the threshold differ in at most
-  ``d`` shingles, so with ``d + 1 + SLACK`` fragments some non-empty fragment is equal in both. Documents
-  that share no fragment are in no link. Equal sets are one class from the start.
+  ``d`` shingles, so if one of them fills more than ``d`` fragments, some filled fragment is equal in both. A class has
+  as many fragments as its least sets need for that, with a margin. Where both sets fill fewer all the same, they
+  share one of the first shingles of the order (as many as a linked set can lack, and one more), which are
+  the further keys of such sets. Documents that share no key are in no link. Equal sets are one class from the start.
 * Counting: for pairs that are left, overlaps are counted per fragment of the order and
   summed per pair; the sum decides exactly.
 * Pairs are never enumerated within a group: first every member of a fragment's group is
@@ -29,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import sequences as seq
-from llm.storage import components, packed, read, stored, unpacked
+from llm.storage import components, packed, read, released, stored, unpacked
 
 SLACK = 3
-RATIO = 1.4
+RATIO = 1.6
 LEAST_BITS = 512
 RANGES = 8
 BLOCK = 1024
@@ -52,15 +54,24 @@ class Join:
 
 
 @lru_cache(maxsize=8)
-def size_classes(join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """Least size of each class, and its number of fragments (0: only equal sets can link)."""
+def size_classes(join: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least size of each class, most shingles by which linked sets of it differ, and its number of fragments.
+
+    ``low`` shingles fall into F fragments as into urns: about F * (1 - exp(-low / F)) are filled. Where no number of
+    fragments fills enough (low thresholds), the least stands, and most sets go by their first shingles.
+    """
     least = [1]
     while least[-1] < 1 << 40:
         least.append(max(least[-1] + 1, int(np.ceil(least[-1] * RATIO))))
     low = np.array(least, dtype=np.int64)
     most = np.append(low[1:], 1 << 41) - 1
     differ = join.differ(most, most * join.over // join.share)
-    return low, np.where(differ > 0, differ + 1 + SLACK, 0)
+    fragments = differ + 1 + SLACK
+    for _ in range(24):
+        filled = fragments * -np.expm1(-low / fragments)
+        few = (filled < differ + 1 + SLACK + np.sqrt(fragments)) & (fragments < low)
+        fragments = np.where(few, np.ceil(fragments * 1.1).astype(np.int64), fragments)
+    return low, differ, fragments
 
 
 def shingle_sets(column, start: int, stop: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,17 +110,19 @@ def set_ids(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def fragment_keys(hashes: np.ndarray, bounds: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the non-empty fragments of each set, for every size class from its least partner's to its own: (row, key)."""
-    low, fragments = size_classes(join)
+    """Keys of the filled fragments of each set, for every size class from its least partner's to its own: (row, key)."""
+    low, differ, fragments = size_classes(join)
     n = np.diff(bounds)
     row = np.repeat(np.arange(len(n)), n)
     own = np.searchsorted(low, n, side="right") - 1
-    partner = np.searchsorted(low, -(-join.share * n // join.over), side="right") - 1
+    least_partner = -(-join.share * n // join.over)
+    partner = np.searchsorted(low, least_partner, side="right") - 1
+    first = np.arange(len(hashes)) - bounds[:-1][row] <= (n - least_partner)[row]
     scattered = seq.mix(hashes + np.uint64(5))
     rows, keys = [], []
     for below in range(int((own - partner).max(initial=0)) + 1):
         c = np.where(own - below >= partner, own - below, -1)
-        cut = np.where(c >= 0, fragments[c], 0)
+        cut = np.where((c >= 0) & (differ[c] > 0), fragments[c], 0)
         use = (cut > 0)[row]
         x, r, s = hashes[use], row[use], scattered[use]
         if not len(x):
@@ -120,10 +133,10 @@ def fragment_keys(hashes: np.ndarray, bounds: np.ndarray, join: Join) -> tuple[n
         cls = c[r[at]].astype(np.uint64)
         keys.append(seq.mix(sums ^ seq.mix(cls * np.uint64(1000003) + f[at])))
         rows.append(r[at])
-        filled = np.bincount(r[at], minlength=len(n))
-        sparse = np.flatnonzero((cut > 0) & (cut - filled > SLACK))  # too many empty fragments: such sets meet by one key
-        rows.append(sparse)
-        keys.append(seq.mix(c[sparse].astype(np.uint64) + np.uint64(0x5EED)))
+        sparse = (cut > 0) & (np.bincount(r[at], minlength=len(n)) <= differ[c])
+        at = np.flatnonzero(sparse[row] & first)
+        rows.append(row[at])
+        keys.append(seq.mix(scattered[at] ^ seq.mix(c[row[at]].astype(np.uint64) + np.uint64(0x5EED))))
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     row, key = np.concatenate(rows), np.concatenate(keys)
@@ -344,6 +357,7 @@ def ngram_links(docs: DataFrame, join: Join = Join(), id_column: str = "doc_id")
     more = stored(_verified(stored(pairs, "pairs"), tokens, join), "more")
     joined = first.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
     roots = components(joined.union(more))
+    released(shared, sets, tried, links, more)
     return members, roots.select(F.col("id").alias("sig"), "root")
 
 

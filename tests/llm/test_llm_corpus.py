@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from llm import line_quality, phrases, spelling_variants
+from llm import line_quality, ngram_join, phrases, spelling_variants
 from llm import sequences as seq
 from tests.compare import difference, duck
 
@@ -152,3 +152,39 @@ def test_held_out_quality(spark):
     labels = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect()}
     out = [r for r in line_quality.op12_line_quality(spark, sf).collect() if r["held_out"] and labels.get(r["doc_id"]) is not None]
     assert sum(r["predicted"] == labels[r["doc_id"]] for r in out) >= 0.95 * len(out) > 0
+
+
+@pytest.mark.parametrize("share", [50, 70, 80])
+def test_ngram_join_of_large_sets(spark, share):
+    """Sets of about 2,000 shingles just at and just below the threshold, and crowds that share a passage only."""
+    r = random.Random(share)
+    passage = [f"p{i}" for i in range(300)]
+    rows = []
+    for group in range(6):
+        base = [f"g{group}x{i}" for i in range(2000)]
+        rows.append(base)
+        union = 2000
+        for most in (union * (100 - share) // 100 - 3, union * (100 - share) // 100 + 12):
+            rows.append(base[: 2000 - most])  # a part of the base: the union is the base
+        rows.append(passage + [f"o{group}y{i}" for i in range(r.randint(1500, 2000))])
+    docs = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    join = ngram_join.Join(5, share)
+    got = sorted(tuple(x) for x in ngram_join.ngram_components(frame, join).select("doc_id", "n_shingles", "component_id").collect())
+    assert got == sorted(ngram_join.brute_force(docs, join))
+    assert 1 < len({c for _, _, c in got}) < len(got)
+
+
+@pytest.mark.parametrize("share, sizes", [(50, (7, 60, 400, 2000)), (70, (60, 400, 2000, 6000)), (80, (60, 400, 2000, 9000)), (90, (60, 2000, 20000))])
+def test_ngram_linked_sets_share_a_key(share, sizes):
+    r, join = np.random.default_rng(share), ngram_join.Join(5, share)
+    for n in sizes:
+        for part in (share, (100 + share) // 2, 100):
+            small = -(-n * part // 100)
+            both = min(small, -(-(small + n) * share // (100 + share)))
+            union = np.unique(r.integers(0, 1 << 63, small + n - both, dtype=np.uint64) * np.uint64(2))
+            mixed = r.permutation(union)
+            sets = [np.sort(mixed[:small]), np.sort(mixed[small - both :])]
+            row, key = ngram_join.fragment_keys(np.concatenate(sets), np.array([0, small, len(sets[1]) + small]), join)
+            assert set(key[row == 0]) & set(key[row == 1])
+            assert len(key) <= 4 * (small + n)
