@@ -211,17 +211,16 @@ def merge_upsert(
 
     With no base this is the first load. A full outer join on the key reads each
     side once. Keys are unique on both sides (staged duplicates are reduced to
-    one row, by hash), so no partition can be skewed by a key.
+    one row, by hash), so no partition can be skewed by a key. A NULL key matches nothing: such rows
+    of the base stay as they are, and a staged one is inserted.
     """
     stage = latest_per_key(stage, on, [row_hash(stage).desc()])
     if base is None:
         return stage
-    left = base.select(*[F.col(c).alias(f"_b_{c}") for c in base.columns])
+    left = base.select(*[F.col(c).alias(f"_b_{c}") for c in base.columns], F.lit(True).alias("_in_base"))
     right = stage.select(*[F.col(c).alias(f"_s_{c}") for c in base.columns], F.lit(True).alias("_staged"))
     joined = left.join(right, [F.col(f"_b_{k}") == F.col(f"_s_{k}") for k in on], "full")
-    is_new = F.lit(True)
-    for k in on:
-        is_new = is_new & F.col(f"_b_{k}").isNull()
+    is_new = F.col("_in_base").isNull()
 
     def pick(c: str) -> Column:
         if c in update_cols:

@@ -15,11 +15,7 @@ from pyspark.sql import functions as F
 
 from clinlake.functions.keys import organization_key, patient_key
 from clinlake.functions.paths import first_where, try_path
-from clinlake.operators.current import latest_per_key
-
-
-# Start of a stand-in for a missing key; no url or key begins with NUL.
-MISSING = "\0missing-"
+from clinlake.operators.current import latest_per_key, row_hash
 
 
 def reference_url(references: Column, *fields: str) -> Column:
@@ -40,25 +36,23 @@ def left_lookup(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]])
     """LEFT equi-join that keeps every row of ``df`` and spreads NULL keys of any type.
 
     ``on`` pairs a column of ``df`` with a column of ``lookup``; the key columns
-    of ``lookup`` are dropped from the result. Keys are compared as text, and a missing one takes a
-    stand-in made of a hash of the row, which matches nothing: hashed as NULL, all rows
-    without a reference would land in one task.
+    of ``lookup`` are dropped from the result. Keys are compared in the common type of both sides.
+    Hashed as NULL, all rows without a reference would land in one task; a second key
+    column, a hash of the whole row where a key is missing and zero elsewhere, deals them out.
     """
-    row = F.concat(F.lit(MISSING), F.xxhash64(*spreading_columns(df)).cast("string"))
-    joinable = df.withColumns({f"_j_{mine}": F.coalesce(F.col(mine).cast("string"), row) for mine, _ in on})
-    side = lookup.select(*[F.col(c).alias(f"_l_{c}") for c in lookup.columns])
-    cond = [F.col(f"_j_{mine}") == F.col(f"_l_{theirs}").cast("string") for mine, theirs in on]
-    joined = joinable.join(side, cond, "left")
+    # always zero, but no constant: a constant would not become a join key
+    zero = F.pmod(F.xxhash64(*[F.col(theirs) for _, theirs in on]), F.lit(1))
+    side = lookup.select(*[F.col(c).alias(f"_l_{c}") for c in lookup.columns], zero.alias("_l_spread_"))
+    missing = F.lit(False)
+    for mine, _ in on:
+        missing = missing | F.col(mine).isNull()
+    joinable = df.withColumn("_spread_", F.when(missing, row_hash(df)).otherwise(F.lit(0).cast("long")))
+    cond = [F.col(mine) == F.col(f"_l_{theirs}") for mine, theirs in on]
+    joined = joinable.join(side, [*cond, F.col("_spread_") == F.col("_l_spread_")], "left")
     taken = {theirs for _, theirs in on}
     return joined.select(*df.columns, *[F.col(f"_l_{c}").alias(c) for c in lookup.columns if c not in taken])
 
 
-def spreading_columns(df: DataFrame) -> list[Column]:
-    """A few plain columns that tell rows apart; ids come first in our tables."""
-    simple = {"string", "bigint", "int", "timestamp", "date"}
-    return [F.col(name) for name, kind in df.dtypes if kind in simple][:3] or [F.lit(0)]
-
-
 def patient_lookup(patients: DataFrame) -> DataFrame:
     """(bundle, patient url) to natural key: the key is computed once, on the small side.
 

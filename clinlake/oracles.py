@@ -1281,4 +1281,10 @@ def build() -> dict[str, str]:
             UNION ALL SELECT user_id, v, 'update_preimage', p FROM s WHERE p IS NOT NULL""",
         "stage_run": f"SELECT age_band, gender, count(*) AS n FROM ({all_patients}) GROUP BY 1, 2",
     }
+    out |= {
+        "bounded_run": f"""SELECT count(DISTINCT o_orderkey // 2000) AS files, CAST(ceil(count(DISTINCT o_orderkey // 2000) / 8) AS BIGINT) AS batches,
+            (SELECT count(*) FROM ({fact_rows("fact_encounter")})) AS encounters FROM orders""",
+        "mart_by_changes": out["fact_encounter"],
+        "scd2_by_batch": out["scd2"].replace("SELECT user_id,", "SELECT sha256(user_id || '|' || CAST(ts AS VARCHAR)) AS surrogate_key, user_id,", 1),
+    }
     return out

@@ -23,9 +23,11 @@ from clinlake.operators.documents import ENTRY, explode_entries, explode_fields,
 from clinlake.operators.quality import Rule, expect
 from clinlake.plans import gold, mart
 from clinlake.plans.gold_specs import GOLD_SPECS
+from clinlake.plans.mart_log import MartLog
 from clinlake.plans.silver import newest, plans_of, versions
 from clinlake.sources.bundles import read_bundles
-from clinlake.streaming.tables import KeyedLog, append_stream, drain, latest_batch, schema_stream
+from clinlake.sources.limits import NO_LIMIT, BatchLimit
+from clinlake.streaming.tables import KeyedLog, append_stream, drain, latest_batch, schema_stream, stream_of
 
 
 @dataclass(frozen=True)
@@ -61,17 +63,21 @@ class Lakehouse:
         """Side table of rows that a stage doesn't pass on, with the reason."""
         return os.path.join(self.root, "tables", "aside", name)
 
+    @property
+    def mart_log(self) -> MartLog:
+        return MartLog(os.path.join(self.root, "mart_log"))
+
     def gold(self, table: str, keys: tuple[str, ...]) -> KeyedLog:
         return KeyedLog(self.table(f"gold/{table}"), keys, "resource_last_updated")
 
 
-def ingest(spark: SparkSession, source: str, lake: Lakehouse) -> None:
+def ingest(spark: SparkSession, source: str, lake: Lakehouse, limit: BatchLimit = NO_LIMIT) -> None:
     """New bundle files to raw rows, resource versions and merged schemas.
 
     Files that hold no entries go to ``aside/bundles`` and entries without url or type to
     ``aside/entries``: every file and every entry is in one place or the other.
     """
-    append_stream(read_bundles(spark, source), lake.table("bundles"), lake.checkpoint("bundles"))
+    append_stream(read_bundles(spark, source, limit=limit), lake.table("bundles"), lake.checkpoint("bundles"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_documents(batch, keep_text=True)
@@ -86,16 +92,12 @@ def ingest(spark: SparkSession, source: str, lake: Lakehouse) -> None:
         bare = resources.where(~keyed).withColumn("reason", why)
         bare.write.mode("overwrite").parquet(f"{lake.aside('entries')}/batch_id={batch_id}")
 
-    drain(stream_of(spark, lake.table("bundles")).writeStream.foreachBatch(write), lake.checkpoint("resources"))
-    fields = explode_fields(stream_of(spark, lake.table("resources")))
+    drain(stream_of(spark, lake.table("bundles"), limit).writeStream.foreachBatch(write), lake.checkpoint("resources"))
+    fields = explode_fields(stream_of(spark, lake.table("resources"), limit))
     schema_stream(fields, lake.table("schemas"), lake.checkpoint("schemas"))
 
 
-def stream_of(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-
-
-def silver(spark: SparkSession, lake: Lakehouse) -> list[str]:
+def silver(spark: SparkSession, lake: Lakehouse, limit: BatchLimit = NO_LIMIT) -> list[str]:
     """New resource versions to silver versions, one table per discovered type.
 
     One narrow append stream per type. The type filter is part of each stream's
@@ -105,7 +107,7 @@ def silver(spark: SparkSession, lake: Lakehouse) -> list[str]:
     """
     plans, with_ids = plans_of(latest_batch(spark, lake.table("schemas")))
     for kind, plan in plans.items():
-        typed = stream_of(spark, lake.table("resources")).where(F.col("resourceType") == kind)
+        typed = stream_of(spark, lake.table("resources"), limit).where(F.col("resourceType") == kind)
         rows = versions(typed, kind, plan, kind in with_ids)
         append_stream(rows, lake.table(f"silver/{kind.lower()}"), lake.checkpoint(f"silver-{kind.lower()}"))
     return sorted(plans)
@@ -165,7 +167,7 @@ def gold_rules() -> dict[str, Sequence[Rule]]:
 
 
 def gold_stage(
-    spark: SparkSession, lake: Lakehouse, kinds: list[str], batch_time: Column | None = None
+    spark: SparkSession, lake: Lakehouse, kinds: list[str], batch_time: Column | None = None, limit: BatchLimit = NO_LIMIT
 ) -> dict[str, DataFrame]:
     """New silver versions to gold logs; returns the current rows per gold table.
 
@@ -198,12 +200,16 @@ def gold_stage(
                 df.write.mode("overwrite").parquet(f"{lake.aside(name)}/batch_id={batch_id}")
             rows.unpersist()
 
-        source = stream_of(spark, lake.table(f"silver/{kind}"))
+        source = stream_of(spark, lake.table(f"silver/{kind}"), limit)
         drain(source.writeStream.foreachBatch(write), lake.checkpoint(f"gold-{table}"))
         out[table] = log.current(spark)
     return out
 
 
+def gold_logs(spark: SparkSession, lake: Lakehouse, kinds: list[str]) -> dict[str, KeyedLog]:
+    return {table: lake.gold(table, keys) for table, (_, keys, _) in gold_builders(spark, lake, kinds).items()}
+
+
 def mart_tables(tables: Mapping[str, DataFrame], as_of: Column | None = None) -> dict[str, DataFrame]:
     """Mart tables for every gold table that is present."""
     builders = {
@@ -235,18 +241,27 @@ def run(
     full_refresh: bool = False,
     batch_time: Column | None = None,
     as_of: Column | None = None,
+    limit: BatchLimit = NO_LIMIT,
+    rebuild_mart: bool = True,
 ) -> Lakehouse:
     """All stages in order; returns the table version that was written.
 
+    Every stream takes at most ``limit`` per micro-batch, so the first load of a large backlog goes
+    through in parts. Without ``rebuild_mart``, the mart is the one that ``MartLog`` keeps up by change rows.
+
     The mart holds typed columns only and is rewritten from the current gold rows:
     ages and the newest updates change with every run. Each run writes a folder of its own, and
     the table ``mart/versions`` names the complete ones: readers never see half a mart.
     """
     lake = Lakehouse.new_version(base) if lake is None or full_refresh else lake
-    ingest(spark, source, lake)
-    kinds = silver(spark, lake)
+    ingest(spark, source, lake, limit)
+    kinds = silver(spark, lake, limit)
+    current = gold_stage(spark, lake, kinds, batch_time, limit)
+    if not rebuild_mart:
+        lake.mart_log.refresh(spark, gold_logs(spark, lake, kinds))
+        return lake
     version = uuid.uuid4().hex
-    for name, df in mart_tables(gold_stage(spark, lake, kinds, batch_time), as_of).items():
+    for name, df in mart_tables(current, as_of).items():
         df.write.parquet(os.path.join(lake.root, "mart", version, name))
     stamp = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written_at"))
     stamp.coalesce(1).write.mode("append").parquet(os.path.join(lake.root, "mart", "versions"))

@@ -19,8 +19,10 @@ from clinlake.plans import adt, csv_run as csv_run_plan, csv_tables, gold, mart,
 from clinlake.plans.gold_specs import GOLD_SPECS, SPEC_BY_TABLE
 from clinlake.session import scratch_path
 from clinlake.sources import bundles, csv_lines, files, records
+from clinlake.sources.limits import BatchLimit
 from clinlake.sources.table_documents import (
     DOCUMENTS,
+    bundle_bodies,
     document_text,
     order_bundles,
     read_table,
@@ -28,6 +30,7 @@ from clinlake.sources.table_documents import (
     source_rows,
 )
 from clinlake.streaming import tables as streams
+from clinlake.streaming.history import HistoryLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1701,3 +1704,42 @@ def stage_run(spark, sf):
     lake = stages.run(spark, source, base, lake, batch_time=batch_time(), as_of=as_of())
     rows = lake.mart(spark, "dim_patient")
     return rows.groupBy("age_band", "gender").agg(F.count("*").alias("n"))
+
+
+def write_order_files(spark, sf, path: str, where: str = "true") -> None:
+    """Bundle files with the patient and the encounter of each order."""
+    rows = bundle_bodies(spark, sf).where(where)
+    rows = rows.select(F.concat(F.lit("orders-"), "file_number", F.lit(".json")).alias("file_name"), "body")
+    files.write_text_files(rows, "file_name", "body", path).write.mode("overwrite").format("noop").save()
+
+
+@query
+def bounded_run(spark, sf):
+    """A backlog of bundle files in batches of at most eight: number of batches, and the rows of the mart."""
+    source, base = scratch_path(spark, "bundles"), scratch_path(spark, "lake")
+    write_order_files(spark, sf, source)
+    lake = stages.run(spark, source, base, batch_time=batch_time(), as_of=as_of(), limit=BatchLimit(files=8))
+    raw = spark.read.parquet(lake.table("bundles")).select("ingest_time", F.col("file_metadata.file_path").alias("path"))
+    read = raw.agg(F.count_distinct("path").alias("files"), F.count_distinct("ingest_time").alias("batches"))
+    return read.crossJoin(lake.mart(spark, "fact_encounter").agg(F.count("*").alias("encounters")))
+
+
+@query
+def mart_by_changes(spark, sf):
+    """Encounter facts after two drops, of which the second changes only the rows of its own keys."""
+    source, base = scratch_path(spark, "bundles"), scratch_path(spark, "lake")
+    lake = None
+    for part in ("file_number % 3 <> 1", "file_number % 3 = 1"):
+        write_order_files(spark, sf, source, part)
+        lake = stages.run(spark, source, base, lake, batch_time=batch_time(), rebuild_mart=False)
+    return rounded(lake.mart_log.table(spark, "fact_encounter"))
+
+
+@query
+def scd2_by_batch(spark, sf):
+    """Type history per user kept up over four batches, each with rows from the whole time span."""
+    log = HistoryLog(scratch_path(spark, "history"), ("user_id",), "ts", ("event_type",))
+    rows = event_log(spark, sf)
+    for n in range(4):
+        log.write_batch(rows.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == n).select("user_id", "ts", "event_type", "value"), n)
+    return flat(log.current(spark))

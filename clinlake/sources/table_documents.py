@@ -563,3 +563,19 @@ def order_bundles(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("E
             "'{\"resourceType\":\"Bundle\",\"type\":\"collection\",\"entry\":[' || " + entries + " || ']}'"
         ).alias("value"),
     )
+
+
+def bundle_bodies(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("Encounter",), keys_per_file: int = 2000) -> DataFrame:
+    """(file_number, body): bundles of the orders whose keys lie within ``keys_per_file``, a bounded number each, with their patients."""
+    orders = source_rows(spark, sf_dir, "orders")
+    joined = orders.join(source_rows(spark, sf_dir, "customers"), F.col("o_custkey") == F.col("c_custkey"))
+
+    def entry(kind: str) -> str:
+        return f"'{{\"fullUrl\":\"urn:uuid:' || {DOCUMENTS[kind][2]} || '\",\"resource\":' || {document_text(kind)} || '}}'"
+
+    entries = joined.select(
+        F.expr(f"o_orderkey div {keys_per_file}").alias("file_number"), "o_orderkey", F.expr(" || ',' || ".join(entry(k) for k in ("Patient", *kinds))).alias("entry")
+    )
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "entry"))), lambda e: e["entry"]), ",")
+    body = F.concat(F.lit('{"resourceType":"Bundle","type":"collection","entry":['), whole, F.lit("]}"))
+    return entries.groupBy("file_number").agg(body.alias("body"))

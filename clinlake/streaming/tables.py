@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clinlake.operators.current import change_feed, row_hash, scd1
+from clinlake.sources.limits import NO_LIMIT, BatchLimit
 
 
 def drain(query_writer, checkpoint: str) -> StreamingQuery:
@@ -25,6 +26,11 @@ def drain(query_writer, checkpoint: str) -> StreamingQuery:
     return query
 
 
+def stream_of(spark: SparkSession, path: str, limit: BatchLimit = NO_LIMIT) -> DataFrame:
+    """A stored table as a stream, in micro-batches of at most ``limit``."""
+    return limit.on(spark.readStream.schema(spark.read.parquet(path).schema)).parquet(path)
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append-only table with exactly-once files; drains the input, then stops."""
     return drain(df.writeStream.format("parquet").outputMode("append").option("path", path), checkpoint)
@@ -68,7 +74,10 @@ class KeyedLog:
 
     def current(self, spark: SparkSession, except_cols: Sequence[str] = ()) -> DataFrame:
         """Greatest sequence per key; equal sequences go to the later batch."""
-        log = self.versions(spark)
+        return self.newest_of(self.versions(spark), except_cols)
+
+    def newest_of(self, log: DataFrame, except_cols: Sequence[str] = ()) -> DataFrame:
+        """The current row of each key that ``log``, a part of the versions, holds whole."""
         tied = log.withColumn("_hash", row_hash(log.drop("batch_id")))
         rows = scd1(tied, self.keys, self.sequence_by, ["_hash", "batch_id", *except_cols], ["batch_id", "_hash"])
         return rows.where(~F.coalesce(F.col(self.deleted), F.lit(False))) if self.deleted else rows
@@ -107,10 +116,9 @@ class KeyedLog:
 
         return drain(self.stream(spark).writeStream.foreachBatch(write), checkpoint)
 
-    def stream(self, spark: SparkSession) -> DataFrame:
+    def stream(self, spark: SparkSession, limit: BatchLimit = NO_LIMIT) -> DataFrame:
         """New versions as a stream, updates included, for downstream tables."""
-        schema = spark.read.parquet(self.path).schema
-        return spark.readStream.schema(schema).parquet(self.path)
+        return stream_of(spark, self.path, limit)
 
     def compact(self, spark: SparkSession, target: str) -> KeyedLog:
         """Write the current rows as batch 0 of a new log at ``target``."""

@@ -90,3 +90,11 @@ def test_merge_updates_only_listed_columns(spark):
 def test_newest_row_is_limited_before_the_shuffle(spark):
     plan = scd1(skewed(spark), ["k"], "t")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_merge_keeps_rows_without_a_key(spark):
+    shape = "k string, keep string, v string"
+    base = spark.createDataFrame([("a", "keep", "1"), (None, "keep", "x")], shape)
+    stage = spark.createDataFrame([("a", "other", "2"), ("b", "new", "3"), (None, "staged", "y")], shape)
+    got = sorted(map(str, [tuple(r) for r in merge_upsert(base, stage, ["k"], ["v"]).collect()]))
+    assert got == sorted(map(str, [("a", "keep", "2"), ("b", "new", "3"), (None, "keep", "x"), (None, "staged", "y")]))

@@ -40,3 +40,22 @@ def test_prefix_join_against_brute_force(spark):
 def test_orphans(spark):
     fact = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
     assert orphans(fact, spark.createDataFrame([("a",)], "k string"), "k").count() == 2
+
+
+def test_lookup_keys_of_mixed_types(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1.0D, 'a'), (2.5D, 'b'), (CAST(NULL AS DOUBLE), 'c') AS t(k, v)")
+    lookup = spark.sql("SELECT * FROM VALUES (1, 'one'), (2, 'two'), (CAST(NULL AS INT), 'none') AS t(id, name)")
+    got = {r.v: r.name for r in left_lookup(rows, lookup, [("k", "id")]).collect()}
+    assert got == {"a": "one", "b": None, "c": None}
+    cents = spark.sql("SELECT CAST(1.50 AS DECIMAL(5,2)) AS k"), spark.sql("SELECT CAST(1.5 AS DECIMAL(5,1)) AS id, 'x' AS name")
+    assert left_lookup(*cents, [("k", "id")]).first().name == "x"
+
+
+def test_rows_without_a_reference_are_dealt_out(spark):
+    """Constant first columns don't bring them together, and the spread is part of the join key."""
+    rows = spark.range(1000).selectExpr("'t' AS type", "'s' AS status", "'c' AS code", "CASE WHEN id < 0 THEN 'u' END AS ref", "id")
+    lookup = spark.createDataFrame([("u", 1)], "url string, x int")
+    joined = left_lookup(rows, lookup, [("ref", "url")])
+    assert joined.count() == 1000 and joined.columns == ["type", "status", "code", "ref", "id", "x"]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_spread_" in plan.split("Join", 1)[1].splitlines()[0]
