@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import sequences as seq
-from llm.storage import components, packed, read, released, stored, unpacked
+from llm.storage import bit_map, components, packed, read, released, stored, unpacked
 
 SLACK = 3
 RATIO = 1.6
 LEAST_BITS = 512
 RANGES = 8
+MAP_BITS = 27
 BLOCK = 1024
 
 
@@ -195,8 +196,8 @@ def _profile(join: Join):
     return run
 
 
-def _keys(join: Join):
-    """(key, sig) of all fragments. Made anew where they are used: they take more room than the texts."""
+def _keys(join: Join, known=None):
+    """(key, sig) of all fragments, or of those in a map of keys. Made anew where they are used: they take more room than the texts."""
     import pyarrow as pa
 
     def run(table: Iterator) -> Iterator:
@@ -205,6 +206,9 @@ def _keys(join: Join):
             for start, stop in seq.batches(column, 1 << 17):
                 hashes, bounds = shingle_sets(column, start, stop, join.width)
                 row, key = fragment_keys(hashes, bounds, join)
+                if known is not None:
+                    use = seq.in_map(known.value, key.view(np.uint64))
+                    row, key = row[use], key[use]
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(set_ids(hashes, bounds)[row])], ["key", "sig"])
 
     return run
@@ -327,11 +331,15 @@ def ngram_links(docs: DataFrame, join: Join = Join(), id_column: str = "doc_id")
 
     keys = base.select("text").mapInArrow(_keys(join), "key long, sig long")
     groups = keys.groupBy("key").agg(F.min("sig").alias("lead"), F.max("sig").alias("top")).filter("lead < top").select("key", "lead")
+    groups = stored(groups, "groups")
+    # keys of one set only, most of all, need not meet: a map of fixed size leaves them out before the shuffle
+    known = docs.sparkSession.sparkContext.broadcast(bit_map(groups, "key", MAP_BITS))
+    keys = base.select("text").mapInArrow(_keys(join, known), "key long, sig long")
     shared = stored(keys.join(groups, "key").select("key", "sig", "lead").distinct(), "shared")
 
     wanted = shared.select("sig").distinct()
     chosen = members.groupBy("sig").agg(F.min("tid").alias("tid")).join(wanted, "sig").select("tid")
-    texts = base.groupBy("tid").agg(F.first("text").alias("text")).join(chosen, "tid", "left_semi").select("text")
+    texts = base.join(chosen, "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text")).select("text")
     sets = stored(texts.mapInArrow(_ranges(join), "sig long, n long, part int, tokens array<long>"), "sets")
     tokens, sketch = sets.filter("part >= 0"), sets.filter("part < 0").select("sig", "n", "tokens")
 
@@ -357,7 +365,7 @@ def ngram_links(docs: DataFrame, join: Join = Join(), id_column: str = "doc_id")
     more = stored(_verified(stored(pairs, "pairs"), tokens, join), "more")
     joined = first.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
     roots = components(joined.union(more))
-    released(shared, sets, tried, links, more)
+    released(groups, shared, sets, tried, links, more)
     return members, roots.select(F.col("id").alias("sig"), "root")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from llm import sequences as seq
-from llm.storage import read, stored
+from llm.storage import bit_map, read, stored
 
 #: Fixed values of the contract.
 LEAST = 30
@@ -95,11 +95,6 @@ def _chunks(column, chunk: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
             at = to
 
 
-def in_map(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    place = prints >> np.uint64(65 - (64 * len(bits)).bit_length())
-    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
-
-
 def _grams(size: int, known, chunk: int):
     """One row per n-gram of a batch. Size 1 adds a row of ``size`` 0 per language with the number of its words."""
     import pyarrow as pa
@@ -119,7 +114,7 @@ def _grams(size: int, known, chunk: int):
                 if bits is not None:
                     head, less, _ = prints.of_size(size - 1)
                     frequent = np.zeros(len(start), dtype=bool)
-                    frequent[head] = in_map(bits, less)
+                    frequent[head] = seq.in_map(bits, less)
                     use = frequent[at] & frequent[np.minimum(at + 1, len(start) - 1)]
                     at, one, two = at[use], one[use], two[use]
                 order = np.lexsort((two, one))
@@ -140,16 +135,6 @@ def _grams(size: int, known, chunk: int):
     return run
 
 
-def frequent_map(frequent: DataFrame, map_bits: int = MAP_BITS) -> np.ndarray:
-    """A bit for each frequent fingerprint; what reaches the driver is at most 2**map_bits bits."""
-    place = F.shiftrightunsigned("one", 64 - map_bits)
-    words = frequent.select(F.shiftrightunsigned(place, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(one, {64 - map_bits}) & 63 as int))").alias("bit"))
-    found = words.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()
-    bits = np.zeros(1 << (map_bits - 6), dtype=np.uint64)
-    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return bits
-
-
 def _texts():
     """The n-grams that the occurrences of one text stand for; those whose fingerprints, made anew, differ belong to another text of this ``tid``."""
     import pyarrow as pa
@@ -196,7 +181,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         counted = grams.groupBy("one", "two", "size").agg(F.sum("n").alias("n"), F.first("tid").alias("tid"), F.first("place").alias("place"))
         found.append(stored(counted.filter((F.col("n") >= least) | (F.col("size") == 0)), f"grams-{size}"))
         if size < longest:
-            known = spark.sparkContext.broadcast(frequent_map(found[-1].filter("size > 0"), map_bits))
+            known = spark.sparkContext.broadcast(bit_map(found[-1].filter("size > 0"), "one", map_bits))
     rows = found[0]
     for more in found[1:]:
         rows = rows.union(more)

@@ -147,6 +147,12 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:n], out[width - span : width - span + n])
 
 
+def in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set in a map of 64-bit words (see ``storage.bit_map``)."""
+    place = hashes >> np.uint64(65 - (64 * len(bits)).bit_length())
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+
+
 @dataclass
 class Anchors:
     """Per anchor: document row, gram hash, place of the gram, first and last window start it serves, class hash.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +62,20 @@ def lowest_share(hashed, share: float):
     return hashed <= F.lit(min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
 
 
+def bit_map(df: DataFrame, column: str, map_bits: int) -> np.ndarray:
+    """A map of ``2**map_bits`` bits with a bit set for each 64-bit hash of the column, by its first bits.
+
+    Fixed in size: a map that is too full for the data says "set" too often, never too seldom.
+    """
+    place = F.shiftrightunsigned(column, 64 - map_bits)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - map_bits}) & 63 as int))")
+    words = df.select(F.shiftrightunsigned(place, 6).cast("int").alias("word"), bit.alias("bit"))
+    found = words.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()
+    bits = np.zeros(1 << (map_bits - 6), dtype=np.uint64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) for every end of an edge (a, b): root is the least id that can be reached.
 
