@@ -37,7 +37,7 @@ SLACK = 3
 RATIO = 1.6
 LEAST_BITS = 512
 RANGES = 8
-MAP_BITS = 27
+MAP_BITS = 24
 BLOCK = 1024
 
 
