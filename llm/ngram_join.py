@@ -31,13 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import sequences as seq
-from llm.storage import bit_map, components, packed, read, released, stored, unpacked
+from llm.storage import batch_rows, bit_map, components, packed, read, released, stored, unpacked
 
 SLACK = 3
 RATIO = 1.6
 LEAST_BITS = 512
 RANGES = 8
 MAP_BITS = 24
+ROWS = 1000  # rows sent to Python at a time
 BLOCK = 1024
 
 
@@ -325,6 +326,11 @@ def ngram_links(docs: DataFrame, join: Join = Join(), id_column: str = "doc_id")
 
     ``sig`` names a set of shingles (0: empty); documents of one ``sig`` are linked with each other.
     """
+    with batch_rows(docs.sparkSession, ROWS):
+        return _links(docs, join, id_column)
+
+
+def _links(docs: DataFrame, join: Join, id_column: str) -> tuple[DataFrame, DataFrame]:
     base = docs.select(F.col(id_column).alias("id"), F.xxhash64("text").alias("tid"), "text")
     kind = base.schema["id"].dataType.simpleString()
     members = stored(base.mapInArrow(_profile(join), f"id {kind}, tid long, sig long, n long"), "profiles")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,18 @@ def released(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Jobs that run inside send at most ``rows`` rows at a time to Python and back; texts are long, so that bounds memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def packed(docs: DataFrame, *columns) -> DataFrame:
     """All columns of a frame in one struct ``row``, so that helper columns can't clash with them."""
     return docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"), *columns)
