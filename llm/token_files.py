@@ -7,9 +7,10 @@ the dictionary's SHA-256, the documents' ids, an offset index and the frames end
 stored as Parquet in ascending document order and carry their place, so a lost task
 writes its blocks again and nothing else.
 
-Encoding calls the tokenizers library for every piece of text (cut before spaces that a non-space
-follows, which are borders of its pre-tokens) that a bounded table doesn't hold yet. Texts that contain
-the string of an added token go to the library whole, which gives them that token's id.
+Encoding cuts a batch of texts at borders of the library's pre-tokens by array operations, names equal pieces by
+one number, calls the tokenizers library for each different piece that a bounded table doesn't hold yet, and gathers
+the ids by those numbers. Texts that contain the string of an added token go to the library whole, which gives
+them that token's id.
 
 Results for special rows: null and empty texts hold the end id alone; null document ids come first; equal
 document ids are ordered by a hash of their text; an empty table gives no blocks and an empty dictionary.
@@ -18,11 +19,11 @@ document ids are ordered by a hash of their text; an empty table gives no blocks
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -33,14 +34,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from clinlake.session import scratch_path
-from llm.byte_bpe import split_at_spaces
+from llm import sequences as seq
 from llm.storage import lowest_share, read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
-MARKS = frozenset(".,;:!?")
+BLANK, ALNUM, MARK, OTHER = range(4)
+KINDS = np.full(256, OTHER, dtype=np.uint8)
+KINDS[[*range(9, 14), *range(28, 33)]] = BLANK
+KINDS[[*b"0123456789", *range(65, 91), *range(97, 123)]] = ALNUM
+KINDS[[*b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~']] = MARK  # an apostrophe may share a token with letters
+LEADS = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])  # first bytes of all blanks beyond ASCII
 CACHE = 1_000_000  # pieces
-BATCH = 256  # documents encoded at a time
+CACHE_BYTES = 64 << 20
+BATCH = 256  # documents sent at a time when read
+BATCH_BYTES = 8 << 20  # of text encoded at a time, or one text
 BLOCK_DOCUMENTS = 1024
 BLOCK_BYTES = 4 << 20
 SAMPLE = 1000
@@ -49,40 +57,97 @@ DICTIONARY_BYTES = 64 << 10
 BLOCKS = "part int, place long, n_ids long, dictionary string, doc_ids array<long>, offsets array<long>, frames binary"
 
 
+def piece_bounds(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Ascending cuts of flat UTF-8 bytes, each a border of pre-tokens: edges of texts, before a space that a non-space
+    follows, around a line end between non-spaces, and between an ASCII letter or digit and a mark.
+
+    A byte that may belong to a wide blank counts as a blank, which leaves cuts out but never adds one.
+    """
+    if not len(data):
+        return np.zeros(1, dtype=np.int64)
+    kind = KINDS[data]
+    solid = kind != BLANK
+    before, after = kind[:-1], kind[1:]
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[:-2] |= (data[:-1] == 32) & solid[1:] & ~LEADS[data[1:]]
+    ends = np.flatnonzero(data == 10)
+    ends = ends[(ends > 2) & (ends < len(data) - 1)]
+    plain = solid[ends - 1] & ~((data[ends - 1] >= 128) & (LEADS[data[ends - 2]] | LEADS[data[ends - 3]]))
+    ends = ends[plain & solid[ends + 1] & ~LEADS[data[ends + 1]]]
+    cut[ends] = cut[ends + 1] = True
+    cut[1:-1] |= ((before == ALNUM) & (after == MARK)) | ((before == MARK) & (after == ALNUM))
+    cut[bounds] = True
+    return np.flatnonzero(cut)
+
+
 class IdEncoder:
-    """Serialized ids (little-endian unsigned 32-bit) of whole texts."""
+    """Ids of whole texts. Ids of pieces that were met before lie end to end in one array."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        self.known: dict[str, bytes] = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.held = 0
+        self.ids, self.first = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+
+    def learn(self, pieces: list[bytes]) -> np.ndarray:
+        """The number of each piece, after the library has encoded those that are new."""
         known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        whole = [i for i, t in enumerate(texts) if t and self.added.search(t)]
-        apart = set(whole)
-        parts = [split_at_spaces(t) if t and i not in apart else [] for i, t in enumerate(texts)]
-        new = {p for each in parts for p in each if p not in known}
-        stems = {p: p[:-1] for p in new if p[-1] in MARKS and p[-2:-1].isalpha()}  # letters and marks never share a token
-        todo = list({stems.get(p, p) for p in new}.union({p[-1] for p in stems}).difference(known))
-        if todo:
-            for piece, found in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False)):
-                known[piece] = np.array(found.ids, dtype="<u4").tobytes()
-        for p, stem in stems.items():
-            known[p] = known[stem] + known[p[-1]]
-        out = [b"".join([known[p] for p in each]) for each in parts]
-        for p in new.union(todo):
-            if len(p) > 64:
-                del known[p]
-        if whole:
-            for i, found in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
-                out[i] = np.array(found.ids, dtype="<u4").tobytes()
-        return out
+        number = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        at = np.flatnonzero(number < 0)
+        if len(at):
+            new = [pieces[i] for i in at.tolist()]
+            found = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(chain.from_iterable(f.ids for f in found), "<u4", int(sizes.sum()))
+            number[at] = np.arange(len(known), len(known) + len(new))
+            known.update(zip(new, number[at].tolist()))
+            self.held += sum(map(len, new))
+            self.ids, self.first = np.append(self.ids, ids), np.append(self.first, self.first[-1] + np.cumsum(sizes))
+        return number
+
+    def encode_bytes(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of flat texts end to end, and each text's bounds among them."""
+        import pyarrow as pa
+
+        if len(self.known) > CACHE or self.held > CACHE_BYTES:
+            self.forget()
+        cuts = piece_bounds(data, bounds)
+        if len(cuts) < 2:
+            return np.zeros(0, dtype="<u4"), np.zeros(len(bounds), dtype=np.int64)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)]).dictionary_encode()
+        number = self.learn(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())[pieces.indices.to_numpy()]
+        sizes = np.diff(self.first)[number]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(self.first[number] - stops[:-1], sizes) + np.arange(stops[-1])]
+        return ids, stops[np.searchsorted(cuts, bounds)]
+
+    def encode_column(self, column) -> Iterator[bytes]:
+        """Serialized ids (little-endian unsigned 32-bit) of each text of an Arrow column."""
+        import pyarrow.compute as pc
+
+        apart = np.zeros(len(column), dtype=bool)
+        for content in self.added:
+            apart |= pc.fill_null(pc.match_substring(column, content), False).to_numpy(zero_copy_only=False)
+        flat = seq.as_bytes(column)
+        for start, stop in seq.batches(flat, BATCH_BYTES):
+            data, bounds = seq.flat_bytes(flat, start, stop)
+            ids, edges = self.encode_bytes(data, bounds)
+            for i in range(start, stop):
+                if apart[i]:
+                    yield np.array(self.tokenizer.encode(column[i].as_py(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+                else:
+                    yield ids[edges[i - start] : edges[i - start + 1]].tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        import pyarrow as pa
+
+        return list(self.encode_column(pa.array(texts, pa.string())))
 
 
 @lru_cache(maxsize=2)
@@ -123,7 +188,7 @@ def _sample(path: str):
 
     def run(table: Iterator) -> Iterator:
         for batch in table:
-            yield pa.RecordBatch.from_arrays([pa.array(encoder(path).encode(batch.column("text").to_pylist()), pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(encoder(path).encode_column(batch.column("text")), pa.binary())], ["ids"])
 
     return run
 
@@ -145,18 +210,16 @@ def _write(path: str, dictionary: bytes, end_id: int):
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [n.split()[0] for n in BLOCKS.split(", ")])
 
-        for whole in table:
-            for start in range(0, whole.num_rows, BATCH):
-                batch = whole.slice(start, BATCH)
-                for doc, body in zip(batch.column("doc_id").to_pylist(), encoder(path).encode(batch.column("text").to_pylist())):
-                    packed = frame.compress(body + end)
-                    ids.append(doc)
-                    frames.append(packed)
-                    total += len(body) // 4 + 1
-                    size += len(packed)
-                    if len(ids) >= BLOCK_DOCUMENTS or size >= BLOCK_BYTES:
-                        yield block()
-                        place, ids, frames, total, size = place + 1, [], [], 0, 0
+        for batch in table:
+            for doc, body in zip(batch.column("doc_id").to_pylist(), encoder(path).encode_column(batch.column("text"))):
+                packed = frame.compress(body + end)
+                ids.append(doc)
+                frames.append(packed)
+                total += len(body) // 4 + 1
+                size += len(packed)
+                if len(ids) >= BLOCK_DOCUMENTS or size >= BLOCK_BYTES:
+                    yield block()
+                    place, ids, frames, total, size = place + 1, [], [], 0, 0
         if ids:
             yield block()
 

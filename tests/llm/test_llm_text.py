@@ -281,6 +281,17 @@ def test_token_files_awkward_ids(spark, docs, tmp_path):
     assert np.frombuffer(with_mark, dtype="<u4").tolist() == [64, 220, 50256, 275]
 
 
+def test_token_encoder_random_texts():
+    from tokenizers import Tokenizer
+
+    library, r = Tokenizer.from_file(token_files.TOKENIZER), random.Random(5)
+    pieces = [*"abZ09.,;:!?'-$#*_  \n\t\r\x1c\x85\xa0\u2003\u3000\u2028é中д\u1680ა…—\u0301²😀", "'s", "'ll", " \n", "\n\n", "<|endoftext|>"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(0, 30))) for _ in range(8000)] + [None, "", "é" * 5000, " " * 3000]
+    got = token_files.IdEncoder(token_files.TOKENIZER).encode(texts)
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+
+
 def test_token_files_query(spark):
     rows = sorted(tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     assert sorted(tuple(r) for r in token_files.op6_token_files(spark, SF).collect()) == token_files.brute_force(rows)
