@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from llm.storage import packed, read, unpacked
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-CACHE = 1_500_000  # pieces
+CACHE = 400_000  # pieces; some 250 bytes each, kept by a worker while other stages run
 BUFFER = 400_000  # bytes of pre-tokens merged at a time
 BATCH = 256  # documents
 LEVEL = 6
