@@ -10,10 +10,10 @@ ranges cuts every document's set into fragments.
   the further keys of such sets. Documents that share no key are in no link. Equal sets are one class from the start.
 * Counting: for pairs that are left, overlaps are counted per fragment of the order and
   summed per pair; the sum decides exactly.
-* Pairs are never enumerated within a group: first every member of a fragment's group is
-  held against the group's least member; only members whose components still differ then
-  are compared, inside tasks, by parity sketches whose distance never exceeds the true
-  difference, in blocks of bounded size.
+* First every member of a fragment's group is held against the group's least member; only members
+  whose components still differ then are compared, inside tasks, by parity sketches whose distance never exceeds
+  the true difference, in blocks of bounded size. In a crowd of near copies that don't all link with its least member
+  the pairs left open grow with the square of the crowd; README gives figures.
 
 Results for special rows: texts that are null or have no word have no shingles, link with
 nothing, and are their own component; fewer words than the width make one
