@@ -10,10 +10,11 @@ ranges cuts every document's set into fragments.
   the further keys of such sets. Documents that share no key are in no link. Equal sets are one class from the start.
 * Counting: for pairs that are left, overlaps are counted per fragment of the order and
   summed per pair; the sum decides exactly.
-* First every member of a fragment's group is held against the group's least member; only members
-  whose components still differ then are compared, inside tasks, by parity sketches whose distance never exceeds
-  the true difference, in blocks of bounded size. In a crowd of near copies that don't all link with its least member
-  the pairs left open grow with the square of the crowd; README gives figures.
+* First every member of a fragment's group is held against the group's least member, then, as long as many of those
+  pairs are links, those still apart against further members, a new one each round. Only members
+  whose components differ after that are compared, inside tasks, by parity sketches whose distance never exceeds
+  the true difference, in blocks of bounded size. Most of a dense crowd of near copies is one component by then, so
+  the blocks hold only its other members against it, each pair in the least of the groups that both are known to share.
 
 Results for special rows: texts that are null or have no word have no shingles, link with
 nothing, and are their own component; fewer words than the width make one
@@ -27,7 +28,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm import sequences as seq
@@ -40,6 +41,9 @@ RANGES = 8
 MAP_BITS = 24
 ROWS = 1000  # rows sent to Python at a time
 BLOCK = 1024
+ROUNDS = 2  # most rounds of new leads before the blocks; they save pairs and never change the result
+WORTH = 0.25  # another round follows one in which at least this share of the pairs held were links
+LEAST_KEYS = 4
 
 
 @dataclass(frozen=True)
@@ -244,20 +248,48 @@ def _ranges(join: Join):
     return run
 
 
+def in_largest(job: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Whether each row belongs to the component with most rows of its job (the least root in ties); jobs come sorted."""
+    order = np.lexsort((root, job))
+    j, r = job[order], root[order]
+    at = np.flatnonzero(np.concatenate([[True], (j[1:] != j[:-1]) | (r[1:] != r[:-1])]))
+    size = np.diff(np.append(at, len(j)))
+    best = np.lexsort((r[at], -size, j[at]))
+    best = best[np.concatenate([[True], j[at][best][1:] != j[at][best][:-1]])]
+    chosen = np.zeros(len(at), dtype=bool)
+    chosen[best] = True
+    out = np.empty(len(job), dtype=bool)
+    out[order] = np.repeat(chosen, size)
+    return out
+
+
 def _cross(join: Join):
     """Pairs of the block jobs whose components differ and that sizes and sketches don't rule out.
 
-    Rows come sorted by job. Neighbours at distance 1, 2, ... of the same job are compared, all
-    jobs of a batch at once, until no job has two rows that far apart.
+    Rows come sorted by job; those of a job's largest component are put last. Each other row is held against its
+    neighbours at distance 1, 2, ... of the same job, all jobs of a batch at once, until no job has two rows that far
+    apart. ``least`` are a row's least keys: a pair that shares one below the job's own is left to that key's job.
     """
     import pyarrow as pa
 
     def pairs(rows) -> Iterator:
-        sig, root, n, block = (rows[c].to_numpy() for c in ("sig", "root", "n", "block"))
-        job = seq.mix(rows["key"].to_numpy().view(np.uint64)) ^ (rows["low"].to_numpy().astype(np.uint64) << np.uint64(32)) ^ rows["high"].to_numpy().astype(np.uint64)
-        apart = (rows["low"].to_numpy() != rows["high"].to_numpy())
+        low, high, root = (rows[c].to_numpy() for c in ("low", "high", "root"))
+        key = rows["key"].to_numpy()
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        job = np.cumsum(new)
+        main = in_largest(job, root)
+        order = np.lexsort((main, job))
+        rows, job, root, key, main = rows.take(pa.array(order)), job[order], root[order], key[order], main[order]
+        sig, n, block = (rows[c].to_numpy() for c in ("sig", "n", "block"))
+        apart = rows["low"].to_numpy() != rows["high"].to_numpy()
         words, bounds = _sketch_columns(rows["tokens"].combine_chunks())
-        i, shift = np.arange(len(sig)), 0
+        least = np.full((len(key), LEAST_KEYS), np.iinfo(np.int64).max)
+        listed = rows["least"].combine_chunks()
+        counts = np.diff(listed.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(key)), counts)
+        least[owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)] = listed.flatten().to_numpy()
+        i, shift = np.flatnonzero(~main), 0
         while True:
             shift += 1
             i = i[i + shift < len(sig)]
@@ -268,6 +300,9 @@ def _cross(join: Join):
             use = (root[i] != root[j]) & (sig[i] != sig[j]) & (~apart[i] | (block[i] != block[j]))
             use &= np.minimum(n[i], n[j]) * join.over >= np.maximum(n[i], n[j]) * join.share
             x, y = i[use], j[use]
+            for k in range(LEAST_KEYS):
+                here = ~((least[x, k] < key[x])[:, None] & (least[y] == least[x, k][:, None])).any(axis=1)
+                x, y = x[here], y[here]
             near = distance(words, bounds, x, y) <= join.differ(n[x], n[y])
             x, y = sig[x[near]], sig[y[near]]
             if len(x):
@@ -321,6 +356,61 @@ def _verified(pairs: DataFrame, tokens: DataFrame, join: Join) -> DataFrame:
     return total.filter(F.col("o") * join.over >= (F.col("na") + F.col("nb") - F.col("o")) * join.share).select("a", "b")
 
 
+def _held(pairs: DataFrame, sketch: DataFrame, join: Join) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches don't rule out."""
+    ends = [sketch.select(F.col("sig").alias(e), F.col("n").alias("n" + e), F.col("tokens").alias("s" + e)) for e in "ab"]
+    both = pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "na", "nb", "sa", "sb")
+    return both.mapInArrow(_close(join), "a long, b long")
+
+
+def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, sig, root) of the keys whose sets aren't in one component yet."""
+    named = rows.select("key", "sig").join(roots.withColumnRenamed("id", "sig"), "sig", "left")
+    named = named.select("key", "sig", F.coalesce("root", "sig").alias("root"))
+    mixed = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
+    return stored(named.join(mixed, "key"), "mixed")
+
+
+def _between(links: DataFrame, named: DataFrame) -> DataFrame:
+    """Links (a, b) of sets as edges of their components."""
+    of = named.select("sig", "root").distinct()
+    ends = [of.select(F.col("sig").alias(e), F.col("root").alias("r" + e)) for e in "ab"]
+    return links.join(ends[0], "a").join(ends[1], "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+
+
+def _joined(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components after edges between them; sets that were alone so far come in."""
+    new = stored(components(edges), "new")
+    named = roots.join(new.select(F.col("id").alias("root"), F.col("root").alias("now")), "root", "left")
+    named = named.select("id", F.coalesce("now", "root").alias("root"))
+    return stored(named.union(new.join(roots, "id", "left_anti").select("id", "root")), "roots")
+
+
+def _rounds(still: DataFrame, roots: DataFrame, tried: DataFrame, sketch: DataFrame, tokens: DataFrame, join: Join) -> tuple:
+    """Holds open sets against one lead a group and round: linear in the sets, where all pairs of a crowd aren't.
+
+    The order of the leads is drawn anew each round from the set alone, so that all groups of a crowd name the
+    same lead and its pairs are tried once.
+    """
+    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    for turn in range(ROUNDS):
+        lead = still.groupBy("key").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("drawn"), "sig", "root")).alias("lead"))
+        pairs = still.join(lead, "key").filter("root <> lead.root")
+        pairs = pairs.select(F.least("sig", "lead.sig").alias("a"), F.greatest("sig", "lead.sig").alias("b")).distinct()
+        held = stored(_held(pairs.join(tried, ["a", "b"], "left_anti"), sketch, join), "held")
+        links = stored(_verified(held, tokens, join), "links")
+        tried = tried.union(held)
+        found = links.count()
+        if not found:
+            break
+        roots = _joined(roots, _between(links, still))
+        before, still = still, _mixed(still, roots)
+        released(before)
+        if found < WORTH * held.count():
+            break
+    return still, roots, tried
+
+
 def ngram_links(docs: DataFrame, join: Join = Join(), id_column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """``members`` (id, tid, sig, n) per document and ``roots`` (sig, root) of sets that link with others.
 
@@ -350,28 +440,25 @@ def _links(docs: DataFrame, join: Join, id_column: str) -> tuple[DataFrame, Data
     tokens, sketch = sets.filter("part >= 0"), sets.filter("part < 0").select("sig", "n", "tokens")
 
     stars = shared.filter("sig <> lead").select(F.col("lead").alias("a"), F.col("sig").alias("b")).distinct()
-    ends = [sketch.select(F.col("sig").alias(e), F.col("n").alias("n" + e), F.col("tokens").alias("s" + e)) for e in "ab"]
-    both = stars.join(ends[0], "a").join(ends[1], "b").select("a", "b", "na", "nb", "sa", "sb")
-    tried = stored(both.mapInArrow(_close(join), "a long, b long"), "stars")
+    tried = stored(_held(stars, sketch, join), "stars")
     links = stored(_verified(tried, tokens, join), "links")
-    first = components(links)
+    roots = stored(components(links), "roots")
+    still, roots, tried = _rounds(_mixed(shared, roots), roots, tried, sketch, tokens, join)
 
-    named = shared.select("key", "sig").join(first.withColumnRenamed("id", "sig"), "sig", "left")
-    named = named.select("key", "sig", F.coalesce("root", "sig").alias("root"))
-    mixed = named.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
-    mixed = mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rest = named.join(mixed, "key").join(sketch, "sig")
+    blocks = still.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    few = still.withColumn("at", F.row_number().over(Window.partitionBy("sig").orderBy("key"))).filter(F.col("at") <= LEAST_KEYS)
+    few = few.groupBy("sig").agg(F.collect_list("key").alias("least"))
+    rest = still.join(blocks, "key").join(sketch.join(few, "sig"), "sig")
     rest = rest.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    rest = rest.select("key", "low", "high", "block", "sig", "root", "n", "tokens")
+    rest = rest.select("key", "low", "high", "block", "sig", "root", "n", "tokens", "least")
     jobs = rest.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     pairs = jobs.mapInArrow(_cross(join), "a long, b long").distinct()
-    pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = stored(_verified(stored(pairs, "pairs"), tokens, join), "more")
-    joined = first.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
-    roots = components(joined.union(more))
-    released(groups, shared, sets, tried, links, more)
+    pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = stored(_verified(pairs, tokens, join), "more")
+    roots = _joined(roots, _between(more, still))
+    released(groups, shared, sets, links, still, pairs, more)
     return members, roots.select(F.col("id").alias("sig"), "root")
 
 

@@ -148,6 +148,42 @@ def test_ngram_chains(spark, join, monkeypatch):
     assert got == sorted(ngram_join.brute_force(rows, join))
 
 
+def test_ngram_crowd_with_members_apart(spark, monkeypatch):
+    """Copies at growing distance from one text: few link with the least member, some with none; one pair is tried once."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    r, rows, tried = random.Random(8), [], []
+    base = words(160, 3).split()
+    for i in range(90):
+        w = list(base)
+        for k in range(r.choice([1, 2, 3, 4, 5, 12])):
+            w[r.randrange(len(w))] = f"e{i}x{k}"
+        rows.append((i, " ".join(w)))
+    whole = ngram_join.stored
+
+    def stored(df, name):
+        if name == "pairs":
+            tried.append(df.count())
+        return whole(df, name)
+
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for join in (ngram_join.Join(5, 80), ngram_join.Join(5, 90)):
+        got = sorted(tuple(x)[:3] for x in ngram_join.ngram_components(docs, join).collect())
+        want = sorted(ngram_join.brute_force(rows, join))
+        assert got == want and 1 < len({c for _, _, c in want}) < 90
+    assert max(tried) < 90 * 89 / 2 / 4
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 4)), min_size=1, max_size=30))
+@settings(max_examples=60, deadline=None)
+def test_in_largest(rows):
+    rows = sorted(rows, key=lambda x: x[0])
+    got = ngram_join.in_largest(np.array([j for j, _ in rows]), np.array([c for _, c in rows]))
+    for (job, root), main in zip(rows, got):
+        mine = [c for j, c in rows if j == job]
+        assert main == (root == min(mine, key=lambda c: (-mine.count(c), c)))
+
+
 @given(st.lists(st.sets(st.integers(0, 2**64 - 1), max_size=300), min_size=2, max_size=5), st.randoms())
 @settings(max_examples=40, deadline=None)
 def test_sketches_never_exceed_the_difference(sets, r):
