@@ -41,7 +41,7 @@ RANGES = 8
 MAP_BITS = 24
 ROWS = 1000  # rows sent to Python at a time
 BLOCK = 1024
-ROUNDS = 2  # most rounds of new leads before the blocks; they save pairs and never change the result
+ROUNDS = 1  # most rounds of new leads before the blocks; they save pairs and never change the result
 WORTH = 0.25  # another round follows one in which at least this share of the pairs held were links
 LEAST_KEYS = 4
 

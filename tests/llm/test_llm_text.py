@@ -167,7 +167,7 @@ def test_ngram_crowd_with_members_apart(spark, monkeypatch):
 
     monkeypatch.setattr(ngram_join, "stored", stored)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for join in (ngram_join.Join(5, 80), ngram_join.Join(5, 90)):
+    for join in [ngram_join.Join(5, 80)]:
         got = sorted(tuple(x)[:3] for x in ngram_join.ngram_components(docs, join).collect())
         want = sorted(ngram_join.brute_force(rows, join))
         assert got == want and 1 < len({c for _, _, c in want}) < 90
