@@ -40,6 +40,12 @@ def hyperplanes(dimension: int, tables: int, bits: int) -> np.ndarray:
     return np.random.default_rng([SEED, dimension]).standard_normal((dimension, tables * bits))
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1. Scaled first by a power of two, which is exact, so that squares neither overflow nor vanish."""
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
 def _codes(tables: int, bits: int):
     import pyarrow as pa
 
@@ -55,7 +61,7 @@ def _codes(tables: int, bits: int):
             codes = np.zeros((batch.num_rows, tables), dtype=np.int64)
             for size in np.unique(sizes):
                 rows = np.flatnonzero(sizes == size)
-                x = flat[begin[rows][:, None] + np.arange(size)].astype(np.float64)
+                x = unit(flat[begin[rows][:, None] + np.arange(size)].astype(np.float64))
                 if int(size) not in planes:
                     planes[int(size)] = hyperplanes(int(size), tables, bits)
                 signs = (x @ planes[int(size)] >= 0).reshape(len(rows), tables, bits)
@@ -75,9 +81,8 @@ def _compare(threshold: float):
     def run(table):
         cid, n, block = (table[c].to_numpy() for c in ("cid", "n", "block"))
         at, low, high = (int(table[c][0].as_py()) for c in ("at", "low", "high"))
-        x = np.array(table["vector"].to_pylist(), dtype=np.float64)
+        x = unit(np.array(table["vector"].to_pylist(), dtype=np.float64))
         codes = np.array(table["codes"].to_pylist(), dtype=np.int64)[:, :at]
-        x /= np.linalg.norm(x, axis=1)[:, None]
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
         links, root = np.zeros(len(cid), dtype=np.int64), np.arange(len(cid))
 
@@ -152,8 +157,7 @@ def op4_embedding_dedup(spark, sf_dir: str) -> DataFrame:
 def brute_force(rows: list[tuple], threshold: float = THRESHOLD) -> list[tuple]:
     """(id, n_links, component_id, kept) of (id, vector) rows, by the full matrix."""
     ok = [i for i, (_, v) in enumerate(rows) if v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)]
-    x = np.array([rows[i][1] for i in ok], dtype=np.float64)
-    x /= np.linalg.norm(x, axis=1)[:, None]
+    x = unit(np.array([rows[i][1] for i in ok], dtype=np.float64))
     linked = x @ x.T >= threshold
     np.fill_diagonal(linked, False)
     label = np.array([rows[i][0] for i in ok])

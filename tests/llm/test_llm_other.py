@@ -54,6 +54,16 @@ def test_embeddings(spark, block, monkeypatch):
     assert embedding_dedup.near_vectors(frame.filter("false")).count() == 0
 
 
+def test_embedding_scale():
+    x = np.array([[1e200, 1e200], [2e200, 2e200], [1e-200, 2e-200], [1.0, 1.0], [5e-324, 5e-324], [1.7e308, 1.7e308]])
+    got = embedding_dedup.unit(x)
+    equal = [0, 1, 3, 4, 5]
+    assert np.allclose(got[equal] @ got[equal].T, 1, atol=1e-12)
+    assert np.allclose(got[2] @ got[equal].T, 3 / 10**0.5, atol=1e-12)
+    plain = np.random.default_rng(1).standard_normal((50, 64))
+    assert (embedding_dedup.unit(plain) == plain / np.linalg.norm(plain, axis=1)[:, None]).all()
+
+
 def test_embedding_recall_at_the_threshold():
     tables, bits = embedding_dedup.plan(10**6, 0.95, 0.999)
     r = np.random.default_rng(1)
