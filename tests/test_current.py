@@ -2,12 +2,14 @@
 
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clinlake.operators.current import change_feed, merge_upsert, scd1, scd2, with_previous
+from clinlake.functions.keys import packed_id, unpacked_id
+from clinlake.operators.current import among_repeated, change_feed, latest_per_key, merge_upsert, scd1, scd2, with_previous
 
 
 def skewed(spark, n=3000):
@@ -98,3 +100,33 @@ def test_merge_keeps_rows_without_a_key(spark):
     stage = spark.createDataFrame([("a", "other", "2"), ("b", "new", "3"), (None, "staged", "y")], shape)
     got = sorted(map(str, [tuple(r) for r in merge_upsert(base, stage, ["k"], ["v"]).collect()]))
     assert got == sorted(map(str, [("a", "keep", "2"), ("b", "new", "3"), (None, "keep", "x"), (None, "staged", "y")]))
+
+
+def test_packed_ids_are_equal_where_the_texts_are(spark):
+    texts = ["ab" * 32, "AB" * 32, "ab" * 32 + "\n", "ab" * 16, "x", "", "é" * 16, None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", packed_id(F.col("t")))
+    got = rows.select("t", "p", unpacked_id(F.col("p")).alias("back")).collect()
+    assert [r.back for r in got] == texts
+    assert len({bytes(r.p) for r in got if r.p is not None}) == len(texts) - 1
+    assert len(got[0].p) == 32
+
+
+@pytest.mark.parametrize("most", [0, 1, 10])
+def test_rows_alone_under_their_key_are_not_shuffled(spark, most):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 5), ("c", 4), (None, 1), (None, 2), ("d", 7)], "k string, n int")
+
+    def newest(df):
+        return latest_per_key(df, ["k"], [F.desc("n")])
+
+    got = among_repeated(rows, "k", newest, most).collect()
+    assert sorted(got, key=str) == sorted(newest(rows).collect(), key=str)
+    once = rows.where("k IN ('b', 'd')")
+    assert "Exchange" not in among_repeated(once, "k", newest, most)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gold_shuffles_neither_key_hashes_nor_single_versions(spark):
+    from clinlake import queries
+
+    plan = queries.spec_gold(spark, "/root/testdata/sf0.001", "condition_gold").drop("resource")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(condition_natural_key" not in plan
+    assert "hashpartitioning(condition_uuid" not in plan and "hashpartitioning(_key_text" in plan
