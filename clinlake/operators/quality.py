@@ -202,24 +202,29 @@ def _without_value(observations: DataFrame) -> DataFrame:
     return observations.where("value_quantity IS NULL AND value_string IS NULL AND value_code IS NULL")
 
 
-def no_value_profile(observation_gold: DataFrame, top: int = 30) -> DataFrame:
-    """The ``top`` most frequent codes among observations without a value."""
+def no_value_profile(observation_gold: DataFrame, top: int = 30, component: Column | None = None) -> DataFrame:
+    """The ``top`` most frequent codes among observations without a value.
+
+    ``component`` says whether a document has components, for rows that don't carry their document.
+    The totals per category are summed over the counted codes, so that the rows are read once.
+    """
     rows = _without_value(observation_gold)
+    has_component = F.try_variant_get("resource", "$.component", "string").isNotNull() if component is None else component
     counted = rows.groupBy("category", "code", "code_display").agg(
         F.count("*").alias("no_value_count"),
         F.count("value_raw").alias("has_value_raw"),
-        F.count_if(F.try_variant_get("resource", "$.component", "string").isNotNull()).alias("has_component"),
+        F.count_if(has_component).alias("has_component"),
     )
     order = [F.desc("no_value_count"), "category", "code", "code_display"]
-    first = counted.orderBy(*order).limit(top)
-    totals = rows.groupBy(F.col("category").alias("_category")).agg(F.count("*").alias("_total"))
-    shared = first.join(totals, F.col("category").eqNullSafe(F.col("_category")), "left")
-    share = F.round(F.col("no_value_count") * 100.0 / F.col("_total"), 1)
-    return shared.withColumn("pct_of_category", share).drop("_category", "_total").orderBy(*order)
+    total = F.sum("no_value_count").over(Window.partitionBy("category"))
+    share = F.round(F.col("no_value_count") * 100.0 / total, 1)
+    return counted.withColumn("pct_of_category", share).orderBy(*order).limit(top)
 
 
-def root_cause_profile(observation_gold: DataFrame) -> DataFrame:
-    counted = _without_value(observation_gold).groupBy(value_root_cause(F.col("resource")).alias("root_cause")).agg(
+def root_cause_profile(observation_gold: DataFrame, cause: Column | None = None) -> DataFrame:
+    """Observations without a value by cause; ``cause`` for rows that don't carry their document."""
+    found = value_root_cause(F.col("resource")) if cause is None else cause
+    counted = _without_value(observation_gold).groupBy(found.alias("root_cause")).agg(
         F.count("*").alias("n")
     )
     return with_share(counted, "n", "pct", 2, bounded=True)

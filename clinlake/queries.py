@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -1127,14 +1127,24 @@ def profile_value_types(spark, sf):
     return flat(quality.value_type_profile(fact(spark, sf, "fact_observation")))
 
 
+def observations_with(spark: SparkSession, sf: str, **read: Column) -> DataFrame:
+    """Observation gold with columns read from the documents below the first shuffle, so that these don't travel."""
+    raw = SPEC_BY_TABLE["observation_gold"]
+    spec = gold.load_spec(raw | {"columns": raw["columns"] | {name: name for name in read}})
+    rows = silver_versions(spark, sf, "Observation").withColumns(read)
+    return gold.gold_table(spec, rows, silver_versions(spark, sf, "Patient"), batch_time())
+
+
 @query
 def profile_no_value(spark, sf):
-    return flat(quality.no_value_profile(spec_gold(spark, sf, "observation_gold")))
+    found = paths.try_path("resource", "$.component").isNotNull()
+    return flat(quality.no_value_profile(observations_with(spark, sf, _component=found), component=F.col("_component")))
 
 
 @query
 def profile_root_causes(spark, sf):
-    return flat(quality.root_cause_profile(spec_gold(spark, sf, "observation_gold")))
+    rows = observations_with(spark, sf, _cause=clinical.value_root_cause(F.col("resource")))
+    return flat(quality.root_cause_profile(rows, F.col("_cause")))
 
 
 @query

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clinlake.operators.quality import FaultSpec, Rule, expect, inject_faults, quarantine, with_share
+from clinlake.operators.quality import FaultSpec, Rule, expect, inject_faults, no_value_profile, quarantine, with_share
 from clinlake.plans import csv_tables
 from clinlake.plans.metrics import METRIC_VIEWS, PATIENT_DEMOGRAPHICS, describe, query
 from clinlake.sources.csv_lines import drop_headers
@@ -60,3 +60,15 @@ def test_metric_view_names_and_composition(spark):
     with pytest.raises(ValueError):
         query(PATIENT_DEMOGRAPHICS, {"dim_patient": dim}, ["planet"], ["total_patients"])
     assert describe(spark, METRIC_VIEWS).where("kind = 'measure'").count() == 23
+
+
+def test_no_value_profile_reads_its_rows_once_and_without_documents(spark):
+    rows = [("lab", "a", None), ("lab", "a", None), ("lab", "b", None), (None, "a", None), (None, "c", None), ("lab", "a", 1.0)]
+    df = spark.createDataFrame(rows, "category string, code string, value_quantity double").selectExpr(
+        "*", "code AS code_display", "CAST(NULL AS STRING) AS value_string", "CAST(NULL AS STRING) AS value_code",
+        "CAST(NULL AS STRING) AS value_raw", "code = 'a' AS _component",
+    )
+    out = no_value_profile(df, 3, F.col("_component"))
+    got = [(r.category, r.code, r.no_value_count, r.has_component, float(r.pct_of_category)) for r in out.collect()]
+    assert got == [("lab", "a", 2, 2, 66.7), (None, "a", 1, 1, 50.0), (None, "c", 1, 0, 50.0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
