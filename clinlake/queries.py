@@ -28,6 +28,7 @@ from clinlake.sources.table_documents import (
     read_table,
     resource_rows,
     source_rows,
+    spread,
 )
 from clinlake.streaming import tables as streams
 from clinlake.streaming.history import HistoryLog
@@ -1381,7 +1382,7 @@ def chain_summary(spark, sf):
 
 
 def adt_pool(spark, sf) -> DataFrame:
-    return adt.patient_pool(read_table(spark, sf, "customer"), "c_custkey", seed=11)
+    return adt.patient_pool(spread(read_table(spark, sf, "customer").select("c_custkey"), "c_custkey"), "c_custkey", seed=11)
 
 
 @query
@@ -1490,10 +1491,25 @@ def write_bundle_files(spark, sf) -> str:
     return path
 
 
+def write_patient_files(spark, sf, patients_per_file: int = 1000) -> str:
+    """Bundle files of patients whose keys lie together, a bounded number each."""
+    path, key = scratch_path(spark, "bundles"), F.col("c_custkey")
+    entry = "'{\"fullUrl\":\"urn:uuid:patient-' || c_custkey || '\",\"resource\":' || " + document_text("Patient") + " || '}'"
+    rows = source_rows(spark, sf, "customers").dropDuplicates(["c_custkey"]).select(
+        F.floor(key / patients_per_file).alias("file_number"), key.alias("c_custkey"), F.expr(entry).alias("entry")
+    )
+    entries = F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "entry"))), lambda e: e["entry"])
+    body = F.concat(F.lit('{"resourceType":"Bundle","type":"collection","entry":['), F.array_join(entries, ","), F.lit("]}"))
+    bodies = rows.groupBy("file_number").agg(body.alias("body"))
+    named = bodies.select(F.concat(F.lit("patients-"), "file_number", F.lit(".json")).alias("file_name"), "body")
+    files.write_text_files(named, "file_name", "body", path).write.mode("overwrite").format("noop").save()
+    return path
+
+
 @query
 def read_bundles(spark, sf):
     """Files read as a stream into an append table, parsed and exploded."""
-    path, out, checkpoint = write_bundle_files(spark, sf), scratch_path(spark, "raw"), scratch_path(spark, "checkpoint")
+    path, out, checkpoint = write_patient_files(spark, sf), scratch_path(spark, "raw"), scratch_path(spark, "checkpoint")
     streams.append_stream(bundles.read_bundles(spark, path), out, checkpoint)
     streams.append_stream(bundles.read_bundles(spark, path), out, checkpoint)  # nothing new: no change
     raw = spark.read.parquet(out)
@@ -1710,7 +1726,7 @@ def schema_stream(spark, sf):
 @query
 def stage_run(spark, sf):
     """All stages over bundle files, twice; the second run changes nothing."""
-    source, base = write_bundle_files(spark, sf), scratch_path(spark, "lake")
+    source, base = write_patient_files(spark, sf), scratch_path(spark, "lake")
     lake = stages.run(spark, source, base, batch_time=batch_time(), as_of=as_of())
     lake = stages.run(spark, source, base, lake, batch_time=batch_time(), as_of=as_of())
     rows = lake.mart(spark, "dim_patient")

@@ -482,17 +482,20 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Enough partitions for the costly document stage.
 
     A table stored in a few splits would be rendered and parsed by a few tasks
-    only. Large tables have many splits and pass through without a shuffle.
+    only. Large tables have many splits and pass through without a shuffle. Only splits
+    that hold rows count: a file is cut by size, but its rows lie where its row groups begin.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
+    few = df.rdd.getNumPartitions() < wanted or df.select(F.spark_partition_id().alias("p")).distinct().count() < wanted
+    return df.repartition(wanted, *keys) if few else df
 
 
 def source_rows(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """Source rows of a document family with the columns its expressions use."""
     nation = read_table(spark, sf_dir, "nation")
     if source == "customers":
-        return read_table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        customers = spread(read_table(spark, sf_dir, "customer"), "c_custkey")
+        return customers.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     if source == "suppliers":
         region = read_table(spark, sf_dir, "region")
         named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
