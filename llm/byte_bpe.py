@@ -22,6 +22,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -33,6 +34,7 @@ from llm.storage import packed, read, unpacked
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 CACHE = 400_000  # pieces; some 250 bytes each, kept by a worker while other stages run
+CACHE_ALONE = 1_500_000  # for a job that has no other stages
 BUFFER = 400_000  # bytes of pre-tokens merged at a time
 BATCH = 256  # documents
 LEVEL = 6
@@ -127,6 +129,7 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         self.decimal = {rank: str(rank) for rank in self.bytes_of}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.cache = cache
 
     def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
@@ -162,7 +165,7 @@ class ByteBpe:
 
     def _merge(self, queue: RankQueue, ids: list[int], pair: list[int], after: list[int], before: list[int]) -> list[int]:
         """Merges until the queue is empty; ids of parts merged into others become -1."""
-        size, get, buckets = self.size, self.pairs.get, queue.buckets
+        size, get, buckets, lowest = self.size, self.pairs.get, queue.buckets, queue.levels[0]
         while (found := queue.pop()) is not None:
             rank, positions = found
             base = rank * size
@@ -182,6 +185,9 @@ class ByteBpe:
                         lower = r < rank
                         if r in buckets:
                             buckets[r].append(i)
+                        elif (had := lowest[r >> LEVEL]):
+                            buckets[r] = [i]
+                            lowest[r >> LEVEL] = had | 1 << (r & WORD)
                         else:
                             queue.open(r, [i])
                 else:
@@ -192,6 +198,9 @@ class ByteBpe:
                         lower = lower or r < rank
                         if r in buckets:
                             buckets[r].append(left)
+                        elif (had := lowest[r >> LEVEL]):
+                            buckets[r] = [left]
+                            lowest[r >> LEVEL] = had | 1 << (r & WORD)
                         else:
                             queue.open(r, [left])
                 if lower and n + 1 < len(positions):  # the new pair goes first
@@ -203,8 +212,11 @@ class ByteBpe:
         return ids
 
     def learn(self, pieces: set[str]) -> None:
-        """Enters pieces (that begin and end at borders of pre-tokens) into the table."""
-        known, ranks = self.known, self.ranks
+        """Enters pieces (that begin and end at borders of pre-tokens) into the table; ``pieces`` keeps those worked out anew."""
+        known, older, ranks = self.known, self.older, self.ranks
+        for p in [p for p in pieces if p in older]:
+            known[p] = older.pop(p)
+            pieces.discard(p)
         cut = {p: (p,) if p.isalpha() or (p[0] == " " and p[1:].isalpha()) else self.pattern.findall(p) for p in pieces}
         fresh = {t for tokens in cut.values() for t in tokens if t not in known}
         todo, size, held = [], 0, []
@@ -228,14 +240,15 @@ class ByteBpe:
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text."""
+        if len(self.known) > self.cache // 2:  # pieces of the older half that come again move over, the others go
+            self.known, self.older = {}, self.known
         known = self.known
-        if len(known) > self.cache:
-            known.clear()
         parts = [split_at_spaces(t) if t else [] for t in texts]
-        new = {p for each in parts for p in each if p not in known}
+        new = set(chain.from_iterable(parts))
+        new.difference_update(known.keys() & new)
         if new:
             self.learn(new)
-        out = [[i for p in each for i in known[p]] for each in parts]
+        out = [list(chain.from_iterable(map(known.__getitem__, each))) for each in parts]
         for p in new:
             if len(p) > 64:
                 del known[p]
@@ -249,16 +262,16 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str, pattern: str) -> ByteBpe:
+def tokenizer(path: str, pattern: str, cache: int = CACHE) -> ByteBpe:
     """One per Python worker."""
-    return ByteBpe(path, pattern)
+    return ByteBpe(path, pattern, cache)
 
 
-def _round_trip(path: str, pattern: str, digests: bool):
+def _round_trip(path: str, pattern: str, digests: bool, cache: int = CACHE):
     import pyarrow as pa
 
     def run(table: Iterator) -> Iterator:
-        bpe = tokenizer(path, pattern)
+        bpe = tokenizer(path, pattern, cache)
         for whole in table:
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
@@ -290,7 +303,7 @@ def encoded_digests(docs: DataFrame, columns: list[str], path: str = RANKS, patt
     """The same with digests in place of ids and bytes, made where the ids are."""
     base = packed(docs.select(*columns, "text"), F.col("text").alias("body")).select(F.struct(*[F.col("row").getField(c).alias(c) for c in columns]).alias("row"), "body")
     kind = base.schema["row"].dataType.simpleString()
-    out = base.mapInArrow(_round_trip(path, pattern, True), f"row {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    out = base.mapInArrow(_round_trip(path, pattern, True, CACHE_ALONE), f"row {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     more = {c: F.col(c) for c in ("n_tokens", "ids_sha256", "decoded_sha256")}
     return unpacked(out, columns, **more)
 
