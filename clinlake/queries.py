@@ -432,12 +432,8 @@ def classify_references(spark, sf):
 
 
 def _shapes(spark, plans) -> DataFrame:
-    rows = []
-    for kind, plan in plans.items():
-        rows += [(kind, "direct", f, None) for f in plan.direct]
-        rows += [(kind, "array", f, None) for f in plan.array_direct]
-        rows += [(kind, "nested", f, s) for f, subs in plan.array_nested for s in subs]
-    return spark.createDataFrame(rows, "resource_type string, shape string, field string, sub_field string")
+    rows = [row for kind, plan in plans.items() for row in documents.shapes_of(kind, plan)]
+    return spark.createDataFrame(rows, documents.SHAPES)
 
 
 @query
@@ -451,7 +447,7 @@ def explode_all_fields(spark, sf):
 @query
 def classify_all_references(spark, sf):
     """Reference fields of every type, by shape."""
-    return _shapes(spark, documents.reference_plans(documents.infer_schema(all_fields(spark, sf))))
+    return documents.reference_shapes(documents.infer_schema(all_fields(spark, sf)))
 
 
 @query
